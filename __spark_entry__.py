@@ -29,7 +29,7 @@ from stridelake.plans.load import load_activity_counts, load_summary, stored_mar
 from stridelake.plans.report import CODE_COLUMNS
 from stridelake.plans.serve import json_rows, latest_summary, query, write_json
 from stridelake.proxies import runs_from_events, runs_from_lineitem
-from stridelake.schema import ACTIVITY_COUNTS, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
+from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
 from stridelake.session import scratch_path
 from stridelake.sources.lake import read_lake, register_runs
 from stridelake.streaming.incremental import run_incremental
@@ -141,7 +141,7 @@ def _mart_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mart_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql("CREATE DATABASE IF NOT EXISTS stridelake_marts")
     publish_marts(spark, _mart_dir(spark, sf_dir), "stridelake_marts")
-    return spark.table(f"stridelake_marts.{ACTIVITY_COUNTS}")
+    return spark.table(f"stridelake_marts.{ACTIVITY_COUNTS}").drop(EVENT_MONTH)
 
 
 def _load_from_lake(load: Callable) -> Query:

@@ -9,34 +9,43 @@ from pyspark.sql import types as T
 from stridelake.schema import EVENT_DATE
 
 
+def sql_name(name: str) -> str:
+    """The literal name, dots and backticks included, as an SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """A column by its literal name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
-def reading(name: str) -> Column:
+def reading_sql(name: str) -> str:
     """A sensor reading as double; NaN counts as missing."""
-    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+    return f"nanvl(CAST({sql_name(name)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def reading(name: str) -> Column:
+    return F.expr(reading_sql(name))
 
 
 def magnitude(prefix: str = "acceleration") -> Column:
     """Length of the (x, y, z) vector of one sample; NULL if any axis is missing."""
-    x, y, z = (reading(f"{prefix}_{axis}") for axis in "xyz")
-    return F.sqrt(x * x + y * y + z * z)
+    squares = (f"power({reading_sql(f'{prefix}_{axis}')}, 2)" for axis in "xyz")
+    return F.expr(f"sqrt({' + '.join(squares)})")
 
 
-def parse_day(text: Column, on_bad_date: str = "error") -> Column:
+def parse_day(name: str, on_bad_date: str = "error") -> Column:
     """Day of a text date such as ``2017-6-30``.
 
     ``on_bad_date="error"`` fails the job on unreadable text, ``"null"`` gives NULL.
     """
     if on_bad_date not in ("error", "null"):
         raise ValueError(f"on_bad_date must be 'error' or 'null', not {on_bad_date!r}")
-    day = text.try_cast("date")
+    text = sql_name(name)
+    day = f"try_cast({text} AS DATE)"
     if on_bad_date == "null":
-        return day
-    message = F.concat(F.lit("unreadable date: "), text.cast("string"))
-    return F.when(text.isNotNull() & day.isNull(), F.raise_error(message).cast("date")).otherwise(day)
+        return F.expr(day)
+    failure = f"CAST(raise_error(concat('unreadable date: ', {text})) AS DATE)"
+    return F.expr(f"CASE WHEN {text} IS NOT NULL AND {day} IS NULL THEN {failure} ELSE {day} END")
 
 
 def day(runs: DataFrame, on_bad_date: str = "error") -> Column:
@@ -44,5 +53,5 @@ def day(runs: DataFrame, on_bad_date: str = "error") -> Column:
     if EVENT_DATE in runs.columns:
         return F.col(EVENT_DATE)
     if isinstance(runs.schema["date"].dataType, T.StringType):
-        return parse_day(F.col("date"), on_bad_date)
+        return parse_day("date", on_bad_date)
     return F.col("date").cast("date")

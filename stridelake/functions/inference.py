@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stridelake.functions.columns import quoted
-from stridelake.functions.missing import is_missing, missing_to_null
+from stridelake.functions.columns import sql_name
+from stridelake.functions.missing import is_missing_sql, missing_to_null_sql
 
 _BOOLEAN = r"^(true|True|TRUE|false|False|FALSE)$"
 _INTEGER = r"^[+-]?[0-9]+$"
@@ -27,17 +26,18 @@ def infer_types(
         return {}
     aggregates = []
     for i, name in enumerate(names):
-        text = missing_to_null(quoted(name))
-        trimmed = F.trim(text)
-        fits_long = trimmed.try_cast("bigint").isNotNull()
-        integer = trimmed.rlike(_INTEGER)
-        aggregates += [
-            F.count(text).alias(f"filled_{i}"),
-            F.bool_and(text.rlike(_BOOLEAN)).alias(f"boolean_{i}"),
-            F.bool_and(integer & fits_long).alias(f"bigint_{i}"),
-            F.bool_and(trimmed.rlike(_NUMBER) & (~integer | fits_long)).alias(f"double_{i}"),
-        ]
-    found = raw.agg(*aggregates).first()
+        text = missing_to_null_sql(name)
+        fits_long = f"try_cast(trim({text}) AS BIGINT) IS NOT NULL"
+        integer = f"trim({text}) RLIKE r'{_INTEGER}'"
+        tests = {
+            "boolean": f"{text} RLIKE r'{_BOOLEAN}'",
+            "bigint": f"{integer} AND {fits_long}",
+            "double": f"trim({text}) RLIKE r'{_NUMBER}' AND (NOT {integer} OR {fits_long})",
+        }
+        aggregates.append(f"count({text}) AS filled_{i}")
+        for kind, test in tests.items():
+            aggregates.append(f"bool_and(CASE WHEN {text} IS NOT NULL THEN {test} END) AS {kind}_{i}")
+    found = raw.selectExpr(*aggregates).first()
     types = {}
     for i, name in enumerate(names):
         if found[f"filled_{i}"] == 0:
@@ -49,19 +49,16 @@ def infer_types(
     return types
 
 
-def typed(name: str, kind: str) -> Column:
+def typed_sql(name: str, kind: str) -> str:
     """The text column as ``kind``; missing tokens, and text that does not fit, give NULL."""
-    text = quoted(name)
     if kind == "string":
-        return missing_to_null(text)
-    value = F.trim(text).try_cast(kind)
-    if kind == "double":
-        value = F.nanvl(value, F.lit(None).cast("double"))
-    return value
+        return missing_to_null_sql(name)
+    value = f"try_cast(trim({sql_name(name)}) AS {kind})"
+    return f"nanvl({value}, CAST(NULL AS DOUBLE))" if kind == "double" else value
 
 
-def misfit(name: str, kind: str) -> Column:
-    """True where ``typed`` loses a value, false otherwise."""
+def misfit_sql(name: str, kind: str) -> str:
+    """True where ``typed_sql`` loses a value, false otherwise."""
     if kind == "string":
-        return F.lit(False)
-    return typed(name, kind).isNull() & ~is_missing(quoted(name))
+        return "false"
+    return f"({typed_sql(name, kind)} IS NULL AND NOT {is_missing_sql(name)})"

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from stridelake.functions.columns import sql_name
 
 # The texts pandas' CSV reader takes as missing by default.
 NA_TOKENS = (
@@ -29,10 +28,13 @@ NA_TOKENS = (
 )
 
 
-def is_missing(text: Column) -> Column:
-    """True where the text is NULL or one of the tokens."""
-    return text.isNull() | text.isin(*NA_TOKENS)
+_TOKEN_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
 
 
-def missing_to_null(text: Column) -> Column:
-    return F.when(~text.isin(*NA_TOKENS), text)
+def is_missing_sql(name: str) -> str:
+    """True where the text column is NULL or holds one of the tokens."""
+    return f"({sql_name(name)} IS NULL OR {sql_name(name)} IN ({_TOKEN_LIST}))"
+
+
+def missing_to_null_sql(name: str) -> str:
+    return f"CASE WHEN {sql_name(name)} NOT IN ({_TOKEN_LIST}) THEN {sql_name(name)} END"

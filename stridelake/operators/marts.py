@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.functions.columns import day, magnitude, reading
@@ -29,55 +29,38 @@ def rollup(runs: DataFrame, keep: Sequence[str] = (), on_bad_date: str = "error"
         magnitude().alias("magnitude"),
         *(reading(g).alias(g) for g in GYRO),
     )
-    measures = [
-        F.count(F.lit(1)).alias("n"),
-        F.sum("magnitude").alias("magnitude_sum"),
-        F.count("magnitude").alias("magnitude_n"),
-        F.max("magnitude").alias("magnitude_max"),
-    ]
-    for g in GYRO:
-        measures += [F.sum(g).alias(f"{g}_sum"), F.count(g).alias(f"{g}_n")]
-    return samples.groupBy("date", "username", "activity", "wrist", *keep).agg(*measures)
+    measures = ["count(1) AS n", "max(magnitude) AS magnitude_max"]
+    for name in ("magnitude", *GYRO):
+        measures += [f"sum({name}) AS {name}_sum", f"count({name}) AS {name}_n"]
+    return samples.groupBy("date", "username", "activity", "wrist", *keep).agg(*map(F.expr, measures))
 
 
 def summary_of(rolled: DataFrame) -> DataFrame:
     """``daily_user_summary`` from a roll-up.
 
-    The two code totals come from one pass with two grouping sets; the most common code
-    is then the smallest (-count, code) pair, so that equal counts give the smallest code.
-    Each step combines before it shuffles.
+    However many samples a user-day has, here it is one row per pair of codes. These rows
+    are brought together once; totals per code and the final aggregate then need no
+    further shuffle. The most common code is the smallest (-count, code) pair, so that
+    equal counts give the smallest code.
     """
-    by_activity, by_wrist = 1, 2  # grouping_id: a set bit marks a column not grouped by
-    keys = [F.col(k) for k in ("date", "username", "activity", "wrist")]
-    date, user, activity, wrist = keys
-    sums = [c for c in rolled.columns if c.endswith(("_sum", "_n"))]
-    totals = rolled.groupingSets([[date, user, activity], [date, user, wrist]], *keys).agg(
-        F.grouping_id().alias("grouped"),
-        F.sum("n").alias("n"),
-        F.max("magnitude_max").alias("magnitude_max"),
-        *(F.sum(c).alias(c) for c in sums),
-    )
-    once = F.col("grouped") == by_activity
-
-    def most_common(grouped: int, code: str) -> Column:
-        counted = (F.col("grouped") == grouped) & F.col(code).isNotNull()
-        pair = F.struct((-F.col("n")).alias("rank"), F.col(code).alias("code"))
-        return F.min(F.when(counted, pair))["code"]
-
-    def total(name: str) -> Column:
-        return F.sum(F.when(once, F.col(name)))
-
-    def mean(name: str) -> Column:
-        return F.try_divide(total(f"{name}_sum"), total(f"{name}_n"))
-
-    return totals.groupBy("date", "username").agg(
-        most_common(by_activity, "activity").alias("top_activity"),
-        most_common(by_wrist, "wrist").alias("top_wrist"),
-        total("n").alias("samples"),
-        mean("magnitude").alias("avg_accel_magnitude"),
-        F.max("magnitude_max").alias("max_accel_magnitude"),
-        *(mean(g).alias(f"avg_{g}") for g in GYRO),
+    coded = rolled.repartition("date", "username").selectExpr(
+        "*",
+        "sum(n) OVER (PARTITION BY date, username, activity) AS activity_total",
+        "sum(n) OVER (PARTITION BY date, username, wrist) AS wrist_total",
     )
+    aggregates = [
+        f"{_smallest_of('activity_total', 'activity')} AS top_activity",
+        f"{_smallest_of('wrist_total', 'wrist')} AS top_wrist",
+        "sum(n) AS samples",
+        "try_divide(sum(magnitude_sum), sum(magnitude_n)) AS avg_accel_magnitude",
+        "max(magnitude_max) AS max_accel_magnitude",
+        *(f"try_divide(sum({g}_sum), sum({g}_n)) AS avg_{g}" for g in GYRO),
+    ]
+    return coded.groupBy("date", "username").agg(*map(F.expr, aggregates))
+
+
+def _smallest_of(total: str, code: str) -> str:
+    return f"min(CASE WHEN {code} IS NOT NULL THEN struct(-{total} AS rank, {code} AS code) END).code"
 
 
 def counts_of(rolled: DataFrame, code: str) -> DataFrame:
@@ -132,9 +115,7 @@ def daily_wrist_counts(runs: DataFrame, on_bad_date: str = "error") -> DataFrame
 def most_common_code(runs: DataFrame, code: str, on_bad_date: str = "error") -> DataFrame:
     """Most common code per (date, username); ties give the smallest code."""
     counts = daily_code_counts(runs, code, on_bad_date)
-    pair = F.struct((-F.col("cnt")).alias("rank"), F.col(code).alias("code"))
-    ranked = F.min(F.when(F.col(code).isNotNull(), pair))["code"]
-    return counts.groupBy("date", "username").agg(ranked.alias(f"top_{code}"))
+    return counts.groupBy("date", "username").agg(F.expr(f"{_smallest_of('cnt', code)} AS top_{code}"))
 
 
 def fallback_summary(runs: DataFrame, on_bad_date: str = "error") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.operators.marts import counts_of, rollup, summary_of
-from stridelake.schema import ACTIVITY_COUNTS, BATCH_ID, EVENT_DATE, ROLLUP, SUMMARY, WRIST_COUNTS
+from stridelake.schema import ACTIVITY_COUNTS, BATCH_ID, EVENT_MONTH, ROLLUP, SUMMARY, WRIST_COUNTS
 from stridelake.sources.files import write_swapped
 from stridelake.sources.lake import read_lake
 from stridelake.sources.tables import read_table, write_table
@@ -16,15 +16,14 @@ FULL_BUILD = -1
 
 
 def roll_up(runs: DataFrame, batch_id: int | None = None, on_bad_date: str = "error") -> DataFrame:
-    """Roll-up in stored form: partition columns ``event_date`` and ``batch_id``."""
+    """Roll-up in stored form: with partition columns ``event_month`` and ``batch_id``."""
     if batch_id is not None or BATCH_ID not in runs.columns:
         runs = runs.withColumn(BATCH_ID, F.lit(FULL_BUILD if batch_id is None else batch_id).cast("bigint"))
-    return rollup(runs, keep=[BATCH_ID], on_bad_date=on_bad_date).withColumnRenamed("date", EVENT_DATE)
+    return _with_month(rollup(runs, keep=[BATCH_ID], on_bad_date=on_bad_date))
 
 
 def marts_of(rolled: DataFrame) -> dict[str, DataFrame]:
-    """The three marts from a stored roll-up."""
-    rolled = rolled.withColumnRenamed(EVENT_DATE, "date")
+    """The three marts from a roll-up."""
     return {
         SUMMARY: summary_of(rolled),
         ACTIVITY_COUNTS: counts_of(rolled, "activity"),
@@ -33,11 +32,20 @@ def marts_of(rolled: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_rollup(rolled: DataFrame, path: str, dynamic: bool = False) -> None:
-    write_table(rolled, path, partition_by=[EVENT_DATE, BATCH_ID], sort_by=["username"], dynamic=dynamic)
+    write_table(
+        rolled, path, partition_by=[EVENT_MONTH, BATCH_ID], sort_by=["date", "username"], dynamic=dynamic
+    )
 
 
 def write_mart(mart: DataFrame, path: str, dynamic: bool = False) -> None:
-    write_table(mart, path, partition_by=["date"], sort_by=["username"], dynamic=dynamic)
+    """By month, and sorted, so that day and user filters skip row groups."""
+    write_table(
+        _with_month(mart), path, partition_by=[EVENT_MONTH], sort_by=["date", "username"], dynamic=dynamic
+    )
+
+
+def _with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(EVENT_MONTH, F.trunc("date", "month"))
 
 
 def build_marts(
@@ -69,7 +77,10 @@ def build_marts(
 
 
 def publish_marts(spark: SparkSession, mart_dir: str, database: str = "default") -> list[str]:
-    """Make the marts catalog tables over their folders; repeat after marts were updated."""
+    """Make the marts catalog tables over their folders; repeat after marts were updated.
+
+    The tables also show the partition column ``event_month``.
+    """
     names = []
     for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS):
         path = f"{mart_dir.rstrip('/')}/{name}"
@@ -78,15 +89,10 @@ def publish_marts(spark: SparkSession, mart_dir: str, database: str = "default")
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         quoted_path = path.replace("'", "\\'")
-        partitioned = "" if not _is_partitioned(spark, path) else "PARTITIONED BY (date)"
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{quoted_path}'")
-        if partitioned:
-            spark.catalog.recoverPartitions(table)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"PARTITIONED BY ({EVENT_MONTH}) LOCATION '{quoted_path}'"
+        )
+        spark.catalog.recoverPartitions(table)
         names.append(table)
     return names
-
-
-def _is_partitioned(spark: SparkSession, path: str) -> bool:
-    from stridelake.sources.files import list_folder
-
-    return any(e.is_directory and e.name.startswith("date=") for e in list_folder(spark, path))

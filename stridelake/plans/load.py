@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.operators.marts import daily_activity_counts, daily_wrist_counts, fallback_summary
-from stridelake.schema import ACTIVITY_COUNTS, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
+from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
 from stridelake.sources.lake import read_lake
 from stridelake.sources.tables import read_table
 
@@ -47,6 +47,7 @@ def load_mart(
 def stored_mart(spark: SparkSession, name: str, mart_dir: str) -> DataFrame:
     """A mart as written; FileNotFoundError if it is not there."""
     mart = read_table(spark, f"{mart_dir.rstrip('/')}/{name}")
+    mart = mart.drop(EVENT_MONTH)
     missing = {"date", "username"} - set(mart.columns)
     if missing:
         raise ValueError(f"{name} lacks {', '.join(sorted(missing))}")

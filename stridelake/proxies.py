@@ -7,48 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_EVENT_COLUMNS = (
+    "date_format(ts, 'yyyy-M-d') AS date",
+    "date_format(ts, 'HH:mm:ss') AS time",
+    "concat('user_', user_id) AS username",
+    """CAST(CASE WHEN event_type = 'view' THEN 0 WHEN event_type = 'click' THEN 1
+            WHEN event_type <> 'error' THEN 2 END AS BIGINT) AS activity""",
+    "CAST(event_id % 2 AS BIGINT) AS wrist",
+    "value / 100 AS acceleration_x",
+    "(event_id % 7) / 10 AS acceleration_y",
+    "CAST(get_json_object(props, '$.k') AS DOUBLE) / 100 AS acceleration_z",
+    "(event_id % 5) / 10 AS gyro_x",
+    "(event_id % 11) / 10 AS gyro_y",
+    "(event_id % 13) / 10 AS gyro_z",
+)
+
+_LINEITEM_COLUMNS = (
+    "l_shipdate AS date",
+    "concat('supplier_', l_suppkey) AS username",
+    "CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS BIGINT) AS activity",
+    "CAST(CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END AS BIGINT) AS wrist",
+    "l_quantity AS acceleration_x",
+    "l_discount AS acceleration_y",
+    "l_tax AS acceleration_z",
+    "l_discount AS gyro_x",
+    "l_tax AS gyro_y",
+    "l_linenumber / 10 AS gyro_z",
+)
+
 
 def runs_from_events(spark: SparkSession, sf_dir: str, extra: Sequence[Column] = ()) -> DataFrame:
     """Events as samples; dates are un-padded text, codes include unknown and missing ones."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    kind = F.col("event_type")
-    return e.select(
-        F.date_format("ts", "yyyy-M-d").alias("date"),
-        F.date_format("ts", "HH:mm:ss").alias("time"),
-        F.concat(F.lit("user_"), F.col("user_id")).alias("username"),
-        F.when(kind == "view", F.lit(0))
-        .when(kind == "click", F.lit(1))
-        .when(kind != "error", F.lit(2))
-        .cast("bigint")
-        .alias("activity"),
-        (F.col("event_id") % 2).cast("bigint").alias("wrist"),
-        (F.col("value") / 100).alias("acceleration_x"),
-        ((F.col("event_id") % 7) / 10).alias("acceleration_y"),
-        (F.get_json_object("props", "$.k").cast("double") / 100).alias("acceleration_z"),
-        ((F.col("event_id") % 5) / 10).alias("gyro_x"),
-        ((F.col("event_id") % 11) / 10).alias("gyro_y"),
-        ((F.col("event_id") % 13) / 10).alias("gyro_z"),
-        *extra,
-    )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select(*map(F.expr, _EVENT_COLUMNS), *extra)
 
 
 def runs_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as samples: the larger table, for benches."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    flag = F.col("l_returnflag")
-    return li.select(
-        F.col("l_shipdate").alias("date"),
-        F.concat(F.lit("supplier_"), F.col("l_suppkey")).alias("username"),
-        F.when(flag == "A", F.lit(0))
-        .when(flag == "N", F.lit(1))
-        .otherwise(F.lit(2))
-        .cast("bigint")
-        .alias("activity"),
-        F.when(F.col("l_linestatus") == "F", F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("wrist"),
-        F.col("l_quantity").alias("acceleration_x"),
-        F.col("l_discount").alias("acceleration_y"),
-        F.col("l_tax").alias("acceleration_z"),
-        F.col("l_discount").alias("gyro_x"),
-        F.col("l_tax").alias("gyro_y"),
-        (F.col("l_linenumber") / 10).alias("gyro_z"),
-    )
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*_LINEITEM_COLUMNS)

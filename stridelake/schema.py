@@ -31,6 +31,9 @@ RUNS_SCHEMA = _schema(SENSOR_TYPES)
 # Columns the lake adds to the raw ones.
 EVENT_DATE = "event_date"
 BATCH_ID = "batch_id"
+# Partition of the roll-up and the marts: a day of them is small even where a day of
+# samples is large.
+EVENT_MONTH = "event_month"
 
 ROLLUP = "daily_rollup"
 SUMMARY = "daily_user_summary"

@@ -86,35 +86,33 @@ def column_names(header: str) -> tuple[str, ...]:
 
 def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """First record of each file. One task per file reads its first lines and stops."""
-    own = spark.newSession()  # its settings make one whole file one task
+
+    # Defined here so that it travels by value: workers need not have this package.
+    def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, header = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                line = batch.column(0)[i].as_py()
+                if header is None:
+                    if not line.strip():
+                        continue
+                    path, header = batch.column(1)[i].as_py(), line
+                else:
+                    header += "\n" + line
+                if header.count('"') % 2 == 0:  # no quote is open
+                    yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
+                    return
+        if header is not None:
+            yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
+
+    own = spark.newSession()  # its settings make each whole file one task
     own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    lines = _lines(own, paths)
-    firsts = lines.mapInArrow(_first_records, "path string, header string")
+    firsts = _lines(own, paths).mapInArrow(first_record, "path string, header string")
     return {_listed(r["path"]): r["header"] for r in firsts.collect()}
 
 
-def _first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The header of the one file in this task: its first non-blank line, and the lines
-    after it while a quote is open."""
-    path, header = None, None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            line = batch.column(0)[i].as_py()
-            if header is None:
-                if not line.strip():
-                    continue
-                path, header = batch.column(1)[i].as_py(), line
-            else:
-                header += "\n" + line
-            if header.count('"') % 2 == 0:
-                yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
-                return
-    if header is not None:
-        yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
-
-
 def files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     """Files with a line that is not a whole number of well-quoted fields.
 

@@ -70,6 +70,11 @@ def list_csv_files(spark: SparkSession, raw_dir: str) -> list[Entry]:
     return sorted(files, key=lambda e: e.path)
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    fs, jpath = _at(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(jpath) or []]
+
+
 def literal_path(path: str) -> str:
     """The path with glob characters escaped, for Spark's readers."""
     return _GLOB_CHARACTERS.sub(r"\\\1", path)

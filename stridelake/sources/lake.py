@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.functions.columns import parse_day, quoted
-from stridelake.functions.inference import infer_types, misfit, typed
+from stridelake.functions.columns import parse_day, sql_name
+from stridelake.functions.inference import infer_types, misfit_sql, typed_sql
 from stridelake.schema import BATCH_ID, EVENT_DATE, SENSOR_TYPES
 from stridelake.sources.csv_folder import TOO_LONG
 from stridelake.sources.tables import read_table, write_table
@@ -46,22 +46,23 @@ def write_lake(
         if reserved in names:
             raise ValueError(f"column {reserved} is reserved for the lake")
     in_place = batch_id is not None
-    numbers = [n for n in names if types[n] != "string"]
-    columns = {n: typed(n, types[n]) for n in names}
+    columns = {n: typed_sql(n, types[n]) for n in names}
     if in_place:
-        for n in numbers:
-            columns[n] = _or_fail(misfit(n, types[n]), f"{n} does not fit {types[n]}: ", quoted(n), columns[n])
-    whole = _or_fail(F.col(TOO_LONG), "a row has more fields than its header; first: ", quoted(names[0]), columns[names[0]])
-    columns[names[0]] = whole
-    lost = F.array_compact(F.array(*(F.when(misfit(n, types[n]), F.lit(i)) for i, n in enumerate(numbers))))
-    observed = numbers and not in_place
-    rows = raw.select(
-        *(c.alias(n) for n, c in columns.items()),
-        *([F.when(F.size(lost) > 0, lost).alias(MISFITS)] if observed else []),
+        for n in names:
+            text = f"concat('does not fit {types[n]}: ', {sql_name(n)})"
+            columns[n] = f"CASE WHEN {misfit_sql(n, types[n])} THEN raise_error({text}) ELSE {columns[n]} END"
+    failure = "raise_error('a row has more fields than its header')"
+    columns[names[0]] = f"CASE WHEN {TOO_LONG} THEN {failure} ELSE {columns[names[0]]} END"
+    # Columns typed by inference fit by construction; declared ones are checked while written.
+    declared = [n for n in names if not in_place and types[n] == SENSOR_TYPES.get(n) != "string"]
+    bits = [f"CASE WHEN {misfit_sql(n, types[n])} THEN {1 << i} ELSE 0 END" for i, n in enumerate(declared)]
+    rows = raw.selectExpr(
+        *(f"{sql} AS {sql_name(n)}" for n, sql in columns.items()),
+        f"{' + '.join(bits) or '0'} AS {MISFITS}",
     )
     partition_by = []
     if "date" in names:
-        rows = rows.withColumn(EVENT_DATE, parse_day(quoted("date"), on_bad_date))
+        rows = rows.withColumn(EVENT_DATE, parse_day("date", on_bad_date))
         partition_by.append(EVENT_DATE)
     if in_place:
         rows = rows.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
@@ -73,22 +74,15 @@ def write_lake(
         sort_by=["username"] if "username" in names else [],
         dynamic=in_place,
         rebalance=rebalance,
-        measure={f"misfit_{i}": F.count_if(F.array_contains(MISFITS, i)) for i in range(len(numbers))}
-        if observed
-        else None,
-        drop=[MISFITS] if observed else [],
+        measure={"misfits": f"bit_or({MISFITS})"},
+        drop=[MISFITS],
     )
-    lossy = [n for i, n in enumerate(numbers) if observed and found[f"misfit_{i}"]]
+    lossy = [n for i, n in enumerate(declared) if (found["misfits"] or 0) >> i & 1]
     if lossy:
         raise Misfit(lossy)
     return found["rows"]
 
 
-def _or_fail(failed: Column, message: str, detail: Column, value: Column) -> Column:
-    text = F.concat(F.lit(message), F.coalesce(detail, F.lit("NULL")))
-    return F.when(failed, F.raise_error(text)).otherwise(value)
-
-
 def column_types(
     raw: DataFrame, known: dict[str, str] | None = None, when_empty: str | None = "double"
 ) -> dict[str, str]:

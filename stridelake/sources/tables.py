@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
-from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -20,7 +19,6 @@ from stridelake.functions.columns import quoted
 from stridelake.sources import files
 
 _COLUMNS_FILE = "_columns.json"
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_table(
@@ -30,7 +28,7 @@ def write_table(
     sort_by: Sequence[str] = (),
     dynamic: bool = False,
     rebalance: bool = True,
-    measure: dict[str, Column] | None = None,
+    measure: dict[str, str] | None = None,
     drop: Sequence[str] = (),
 ) -> dict[str, object]:
     """Write ``df`` as Parquet, replacing the folder, or only the partitions it holds.
@@ -40,7 +38,7 @@ def write_table(
     so neither one huge task nor many tiny files result. With ``rebalance=False`` each
     task writes what it reads, for input already grouped by partition value.
 
-    Returns the ``measure`` aggregates and ``rows``, counted in the writing stage itself:
+    Returns the ``measure`` aggregates (SQL) and ``rows``, counted in the writing stage itself:
     no second scan, and no double count when a lost executor's map tasks are re-run. The
     columns in ``drop`` are only there to be measured.
     """
@@ -52,7 +50,7 @@ def write_table(
     if order:
         df = df.sortWithinPartitions(*order)
     counted = Observation()
-    df = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (measure or {}).items()))
+    df = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(F.expr(sql).alias(n) for n, sql in (measure or {}).items()))
     df = df.drop(*drop)
     if dynamic:
         _keep_schema(spark, path, kept)
@@ -111,13 +109,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def read_partitions(spark: SparkSession, path: str, folders: Iterable[str]) -> DataFrame:
     """Scan only the given partition folders (globs allowed), so only they are listed."""
     schema = table_schema(spark, path)
-    paths = [f"{path}/{f}" for f in folders]
+    paths = [f"{files.literal_path(path)}/{f}" for f in folders]
     return spark.read.schema(schema).option("basePath", path).parquet(*paths).select(*_columns(schema))
 
 
-def partition_folder(name: str, value: object) -> str:
-    """Folder of one partition value; the value's text must need no escaping, as for dates."""
-    return f"{name}={NULL_PARTITION if value is None else quote(str(value))}"
+def partition_folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Partition folders below ``path`` that match the glob, relative to it."""
+    depth = pattern.count("/") + 1
+    return ["/".join(p.split("/")[-depth:]) for p in files.glob(spark, f"{files.literal_path(path)}/{pattern}")]
 
 
 def _columns(schema: T.StructType) -> list[Column]:

@@ -1,12 +1,12 @@
-"""Incremental run: only new files are read, only the days they touch are rebuilt.
+"""Incremental run: only new files are read, only the months they touch are rebuilt.
 
 A file stream finds the new files and remembers them in its checkpoint. Each micro-batch
 ends in the same tables as a full rebuild would:
 
 * its rows go to the lake partitions (event_date, batch_id);
-* its roll-up goes to the same partitions of the roll-up table, which adds up over batches,
-  so the lake is never read again;
-* the marts of the days it touched are rebuilt from all roll-up rows of those days.
+* its roll-up goes to the roll-up partitions (event_month, batch_id); the roll-up adds up
+  over batches, so the lake is never read again;
+* the marts of the months it touched are rebuilt from all roll-up rows of those months.
 
 Every step replaces whole partitions, so a batch that is run again after a failure
 leaves the same result.
@@ -19,11 +19,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.plans.build import marts_of, roll_up, write_mart, write_rollup
-from stridelake.schema import BATCH_ID, EVENT_DATE, ROLLUP
+from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, ROLLUP
 from stridelake.sources.csv_folder import read_csv_files
 from stridelake.sources.files import exists, list_csv_files
 from stridelake.sources.lake import column_types, write_lake
-from stridelake.sources.tables import partition_folder, read_partitions, table_schema
+from stridelake.sources.tables import partition_folders, read_partitions, table_schema
 
 _FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -82,7 +82,7 @@ def add_files(
     multi_line: bool | None = None,
     on_bad_date: str = "error",
 ) -> int:
-    """One batch: lake, roll-up, then the marts of the touched days."""
+    """One batch: lake, roll-up, then the marts of the touched months."""
     raw = read_csv_files(spark, paths, multi_line)
     rows = write_lake(
         raw,
@@ -94,14 +94,12 @@ def add_files(
     if not rows:
         return 0
     rollup_path = f"{mart_dir.rstrip('/')}/{ROLLUP}"
-    this_batch = [f"{EVENT_DATE}=*/{BATCH_ID}={batch_id}"]
-    new_rows = read_partitions(spark, lake_path, this_batch)
+    new_rows = read_partitions(spark, lake_path, [f"{EVENT_DATE}=*/{BATCH_ID}={batch_id}"])
     write_rollup(roll_up(new_rows, batch_id, on_bad_date), rollup_path, dynamic=True)
 
-    # Days in one batch: bounded by the calendar, not by the data.
-    touched = read_partitions(spark, rollup_path, this_batch).select(EVENT_DATE).distinct()
-    days = [partition_folder(EVENT_DATE, r[EVENT_DATE]) for r in touched.collect()]
-    rolled = read_partitions(spark, rollup_path, days)
+    # Months in one batch: bounded by the calendar, not by the data.
+    touched = partition_folders(spark, rollup_path, f"{EVENT_MONTH}=*/{BATCH_ID}={batch_id}")
+    rolled = read_partitions(spark, rollup_path, sorted({folder.split("/")[0] for folder in touched}))
     for name, mart in marts_of(rolled).items():
         write_mart(mart, f"{mart_dir.rstrip('/')}/{name}", dynamic=True)
     return rows
