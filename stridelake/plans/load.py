@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +35,7 @@ def load_mart(
     if mart_dir is not None:
         try:
             return stored_mart(spark, name, mart_dir)
-        except (OSError, ValueError, PySparkException) as e:
+        except (OSError, ValueError, PySparkException, Py4JJavaError) as e:
             log.info("mart %s not readable (%s); trying the lake", name, type(e).__name__)
     if lake_path is not None:
         try:
