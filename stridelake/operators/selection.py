@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL_USERS = "All"
@@ -25,13 +25,14 @@ def select_rows(
     if user is not None and user != ALL_USERS:
         df = df.where(F.col("username") == user)
     if start is not None:
-        df = df.where(F.col("date") >= _day(start))
+        df = df.where(F.col("date") >= as_day(start))
     if end is not None:
-        df = df.where(F.col("date") <= _day(end))
+        df = df.where(F.col("date") <= as_day(end))
     return df
 
 
-def _day(value: dt.date | str):
+def as_day(value: dt.date | str) -> Column:
+    """A day given as date, datetime or ISO text, as a date literal."""
     if isinstance(value, dt.datetime):
         value = value.date()
     return F.lit(value).cast("date")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,19 +61,19 @@ def build_marts(
     """
     runs = read_lake(spark, lake_path, keep_batch_id=True)
     paths = {name: f"{mart_dir.rstrip('/')}/{name}" for name in (ROLLUP, SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS)}
-    staged: dict[str, DataFrame] = {}
+    stored: dict[str, DataFrame] = {}
 
     def write_base(staging: str) -> None:
         write_rollup(roll_up(runs, on_bad_date=on_bad_date), staging)
-        staged.update(marts_of(read_table(spark, staging)))
+        stored.update(marts_of(read_table(spark, staging)))
 
-    def mart_writer(name: str):
-        return lambda staging: write_mart(staged[name], staging)
+    def mart_writer(name: str) -> Callable[[str], None]:
+        return lambda staging: write_mart(stored[name], staging)
 
     write_swapped(
         spark,
-        {paths[ROLLUP]: write_base}
-        | {paths[name]: mart_writer(name) for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS)},
+        {paths[ROLLUP]: write_base},
+        {paths[name]: mart_writer(name) for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS)},
     )
     return paths
 

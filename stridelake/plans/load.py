@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stridelake.operators.marts import daily_activity_counts, daily_wrist_counts, fallback_summary
+from stridelake.operators.selection import as_day, select_rows
 from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
 from stridelake.sources.lake import read_lake
 from stridelake.sources.tables import read_table
@@ -23,43 +26,62 @@ _FROM_LAKE = {
 
 
 def load_mart(
-    spark: SparkSession, name: str, mart_dir: str | None = None, lake_path: str | None = None
+    spark: SparkSession,
+    name: str,
+    mart_dir: str | None = None,
+    lake_path: str | None = None,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
 ) -> DataFrame:
     """A mart if it can be read, else its equivalent from the lake, else no rows.
 
-    From the lake the summary has only date, username, samples and mean magnitude. Nothing is
-    cached: persist the result to use it more than once.
+    From the lake the summary has only date, username, samples and mean magnitude. With
+    ``start`` or ``end`` only the partitions that can hold these days are read. Nothing is cached:
+    persist the result to use it more than once.
     """
     if name not in MART_SCHEMAS:
         raise KeyError(f"no mart named {name}")
     if mart_dir is not None:
         try:
-            return stored_mart(spark, name, mart_dir)
+            return stored_mart(spark, name, mart_dir, start, end)
         except (OSError, ValueError, PySparkException, Py4JJavaError) as e:
             log.info("mart %s not readable (%s); trying the lake", name, type(e).__name__)
     if lake_path is not None:
         try:
-            return _FROM_LAKE[name](read_lake(spark, lake_path))
+            return select_rows(_FROM_LAKE[name](read_lake(spark, lake_path)), start=start, end=end)
         except FileNotFoundError:
             pass
     return spark.createDataFrame([], MART_SCHEMAS[name])
 
 
-def stored_mart(spark: SparkSession, name: str, mart_dir: str) -> DataFrame:
+def stored_mart(
+    spark: SparkSession,
+    name: str,
+    mart_dir: str,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
+) -> DataFrame:
     """A mart as written; FileNotFoundError if it is not there."""
     mart = read_table(spark, f"{mart_dir.rstrip('/')}/{name}")
-    mart = mart.drop(EVENT_MONTH)
+    if EVENT_MONTH in mart.columns:
+        if start is not None:
+            mart = mart.where(F.col(EVENT_MONTH) >= F.trunc(as_day(start), "month"))
+        if end is not None:
+            mart = mart.where(F.col(EVENT_MONTH) <= as_day(end))
+    mart = select_rows(mart, start=start, end=end).drop(EVENT_MONTH)
     missing = {"date", "username"} - set(mart.columns)
     if missing:
         raise ValueError(f"{name} lacks {', '.join(sorted(missing))}")
     return mart
 
 
-def load_summary(spark: SparkSession, mart_dir: str | None = None, lake_path: str | None = None) -> DataFrame:
-    return load_mart(spark, SUMMARY, mart_dir, lake_path)
+def load_summary(
+    spark: SparkSession, mart_dir: str | None = None, lake_path: str | None = None, **days
+) -> DataFrame:
+    return load_mart(spark, SUMMARY, mart_dir, lake_path, **days)
 
 
 def load_activity_counts(
-    spark: SparkSession, mart_dir: str | None = None, lake_path: str | None = None
+    spark: SparkSession, mart_dir: str | None = None, lake_path: str | None = None, **days
 ) -> DataFrame:
-    return load_mart(spark, ACTIVITY_COUNTS, mart_dir, lake_path)
+    return load_mart(spark, ACTIVITY_COUNTS, mart_dir, lake_path, **days)

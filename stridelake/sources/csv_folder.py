@@ -116,12 +116,12 @@ def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
 def files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     """Files with a line that is not a whole number of well-quoted fields.
 
-    If every line is one, no record goes over a line end. Most lines hold no quote and
-    are settled by that; the rest are split at their quotes. The result is one flag per
-    file, combined in the map tasks.
+    If every line is one, no record goes over a line end. Lines without a quote drop out
+    in the scan, and each map task keeps one row per file.
     """
-    lines = _lines(spark, paths).groupBy("path").agg(F.bool_or(_open_quote(F.col("value"))).alias("open"))
-    return {_listed(r["path"]) for r in lines.where("open").select("path").collect()}
+    lines = _lines(spark, paths).where(F.contains("value", F.lit('"')))
+    open_files = lines.where(_open_quote(F.col("value"))).select("path").distinct()
+    return {_listed(r["path"]) for r in open_files.collect()}
 
 
 def _open_quote(line: Column) -> Column:
@@ -129,15 +129,13 @@ def _open_quote(line: Column) -> Column:
     be empty or touch a comma on the sides where it meets a quote."""
     pieces = F.split(line, '"', -1)
     count = F.size(pieces)
-    odd_quotes = count % 2 == 0
 
     def ill_placed(piece: Column, i: Column) -> Column:
         before = (i == 0) | piece.startswith(",")
         after = (i == count - 1) | piece.endswith(",")
         return (i % 2 == 0) & (piece != "") & ~(before & after)
 
-    flagged = F.transform(pieces, ill_placed)
-    return F.when(F.contains(line, F.lit('"')), odd_quotes | F.array_contains(flagged, True)).otherwise(False)
+    return (count % 2 == 0) | F.array_contains(F.transform(pieces, ill_placed), True)
 
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

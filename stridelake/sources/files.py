@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _GLOB_CHARACTERS = re.compile(r"([\\*?\[\]{}])")
@@ -98,24 +101,23 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_swapped(spark: SparkSession, targets: dict[str, Callable[[str], object]]) -> dict[str, object]:
+def write_swapped(spark: SparkSession, *waves: dict[str, Callable[[str], object]]) -> dict[str, object]:
     """Write each target to a staging folder beside it, then swap all of them in.
 
-    ``targets`` maps a path to a function that writes to the staging path it is given.
-    Until every write has succeeded the old folders stay as they are, and a folder may be
-    read while its replacement is written. Rename is a metadata operation on HDFS and local
-    disks.
+    A wave maps a path to a function that writes to the staging path it is given. The
+    writes of one wave run at the same time, the waves one after the other. Until every
+    write has succeeded the old folders stay as they are, and a folder may be read while its
+    replacement is written. Rename is a metadata operation on HDFS and local disks.
     """
     token = uuid.uuid4().hex
-    staged: dict[str, str] = {}
+    staged = {target: _beside(target, f"staging-{token}") for wave in waves for target in wave}
     results: dict[str, object] = {}
     try:
-        for target, write in targets.items():
-            parent, _, name = target.rstrip("/").rpartition("/")
-            staged[target] = f"{parent}/.{name}.staging-{token}" if parent else f".{name}.staging-{token}"
-            results[target] = write(staged[target])
+        for wave in waves:
+            jobs = [functools.partial(write, staged[target]) for target, write in wave.items()]
+            results |= zip(wave, side_by_side(spark, jobs))
         for target, staging in staged.items():
-            _swap(spark, staging, target, token)
+            _swap(spark, staging, target, _beside(target, f"retired-{token}"))
     finally:
         for staging in staged.values():
             fs, jpath = _at(spark, staging)
@@ -124,17 +126,29 @@ def write_swapped(spark: SparkSession, targets: dict[str, Callable[[str], object
     return results
 
 
-def _swap(spark: SparkSession, staging: str, target: str, token: str) -> None:
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list[object]:
+    """Run independent jobs at the same time, so that one fills what the others leave idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in started]
+
+
+def _beside(target: str, suffix: str) -> str:
+    parent, slash, name = target.rstrip("/").rpartition("/")
+    return f"{parent}{slash}.{name}.{suffix}"
+
+
+def _swap(spark: SparkSession, staging: str, target: str, retired: str) -> None:
     fs, new = _at(spark, staging)
     _, old = _at(spark, target)
-    retired = spark._jvm.org.apache.hadoop.fs.Path(staging.replace(f".staging-{token}", f".retired-{token}"))
+    _, aside = _at(spark, retired)
     had_old = fs.exists(old)
-    if had_old and not fs.rename(old, retired):
+    if had_old and not fs.rename(old, aside):
         raise OSError(f"cannot move {target} aside")
     if not fs.rename(new, old):
         if had_old:
-            fs.rename(retired, old)
+            fs.rename(aside, old)
         raise OSError(f"cannot move the new data to {target}")
     if had_old:
-        fs.delete(retired, True)
+        fs.delete(aside, True)
     spark.catalog.refreshByPath(target)

@@ -14,6 +14,7 @@ leaves the same result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stridelake.plans.build import marts_of, roll_up, write_mart, write_rollup
 from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, ROLLUP
 from stridelake.sources.csv_folder import read_csv_files
-from stridelake.sources.files import exists, list_csv_files
+from stridelake.sources.files import exists, list_csv_files, side_by_side
 from stridelake.sources.lake import column_types, write_lake
 from stridelake.sources.tables import partition_folders, read_partitions, table_schema
 
@@ -100,8 +101,13 @@ def add_files(
     # Months in one batch: bounded by the calendar, not by the data.
     touched = partition_folders(spark, rollup_path, f"{EVENT_MONTH}=*/{BATCH_ID}={batch_id}")
     rolled = read_partitions(spark, rollup_path, sorted({folder.split("/")[0] for folder in touched}))
-    for name, mart in marts_of(rolled).items():
-        write_mart(mart, f"{mart_dir.rstrip('/')}/{name}", dynamic=True)
+    side_by_side(
+        spark,
+        [
+            functools.partial(write_mart, mart, f"{mart_dir.rstrip('/')}/{name}", dynamic=True)
+            for name, mart in marts_of(rolled).items()
+        ],
+    )
     return rows
 
 
