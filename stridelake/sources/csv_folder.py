@@ -9,17 +9,19 @@ from __future__ import annotations
 
 import csv
 import functools
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridelake.functions.columns import quoted
-from stridelake.sources.files import literal_path
+from stridelake.sources.files import literal_path, start_reader
 
 MALFORMED = "__malformed__"
 TOO_LONG = "__too_long__"
@@ -85,32 +87,82 @@ def column_names(header: str) -> tuple[str, ...]:
 
 
 def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First record of each file. One task per file reads its first lines and stops."""
-
-    # Defined here so that it travels by value: workers need not have this package.
-    def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, header = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                line = batch.column(0)[i].as_py()
-                if header is None:
-                    if not line.strip():
-                        continue
-                    path, header = batch.column(1)[i].as_py(), line
-                else:
-                    header += "\n" + line
-                if header.count('"') % 2 == 0:  # no quote is open
-                    yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
-                    return
-        if header is not None:
-            yield pa.RecordBatch.from_pydict({"path": [path], "header": [header]})
-
-    own = spark.newSession()  # its settings make each whole file one task
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
-    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    firsts = _lines(own, paths).mapInArrow(first_record, "path string, header string")
-    return {_listed(r["path"]): r["header"] for r in firsts.collect()}
+    """First record of each file that has one.
+
+    A few files are opened here, one by one. With many, a scan first finds which have the
+    same first line, and only one file of each kind is opened.
+    """
+    if len(paths) <= OPENED_ONE_BY_ONE:
+        return _open_headers(spark, paths)
+    kinds = _same_first_line(spark, paths)
+    opened = _open_headers(spark, [members[0] for members in kinds])
+    headers: dict[str, str] = {}
+    for members in kinds:
+        header = opened.get(members[0])
+        if header is not None and "\n" in header:  # only its first line is known to be the same
+            headers |= _open_headers(spark, members)
+        elif header is not None:
+            headers |= dict.fromkeys(members, header)
+    return headers
+
+
+OPENED_ONE_BY_ONE = 500
+_HEADER_READERS = 32
+_HEADER_BYTES = 1 << 12
+
+
+def _same_first_line(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files grouped by first non-blank line.
+
+    The smallest (row number, hash of the line) of a file, packed into one number, gives the
+    hash of its first line by a plain hash aggregate, one row per file and task. Three
+    independent hashes make 90 bits.
+    """
+    first = r"start = 0 AND trim(BOTH ' \t' FROM value) <> ''"
+    packed = "shiftleft(id & 8589934591, 30) | (xxhash64(value, {}) & 1073741823)"
+    keys = [f"min(CASE WHEN {first} THEN {packed.format(k)} END) & 1073741823 AS key_{k}" for k in range(3)]
+    lines = _lines(spark, paths, F.col("_metadata.file_block_start").alias("start"))
+    lines = lines.withColumn("id", F.monotonically_increasing_id())
+    kinds: dict[tuple, list[str]] = {}
+    for path, *key in lines.groupBy("path").agg(*map(F.expr, keys)).collect():
+        kinds.setdefault(tuple(key), []).append(_listed(path))
+    return list(kinds.values())
+
+
+def _open_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    read_header = functools.partial(_read_header, start_reader(spark, paths[0]))
+    with ThreadPoolExecutor(_HEADER_READERS) as pool:
+        found = pool.map(inheritable_thread_target(spark)(read_header), paths)
+        return {path: header for path, header in zip(paths, found) if header is not None}
+
+
+def _read_header(read_start: Callable[[str, int], tuple[str, bool]], path: str) -> str | None:
+    size = _HEADER_BYTES
+    while True:
+        text, whole = read_start(path, size)
+        header = first_record(text.removeprefix("\ufeff"), whole)
+        if header is not None or whole:
+            return header
+        size *= 16
+
+
+def first_record(text: str, whole: bool) -> str | None:
+    """The first record after blank lines, or None if ``text``, the start of a file or the
+    ``whole`` of it, holds none to its end."""
+    lines = re.split(r"\r\n|\r|\n", text)
+    if not whole:
+        lines.pop()  # may be cut
+    record = None
+    for line in lines:
+        if record is None:
+            if not line.strip():
+                continue
+            record = line
+        else:
+            record += "\n" + line
+        if record.count('"') % 2 == 0:  # no quote is open
+            return record
+    return record if whole else None
 
 
 def files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> set[str]:
@@ -138,9 +190,9 @@ def _open_quote(line: Column) -> Column:
     return (count % 2 == 0) | F.array_contains(F.transform(pieces, ill_placed), True)
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _lines(spark: SparkSession, paths: Sequence[str], *more: Column) -> DataFrame:
     text = spark.read.text([literal_path(p) for p in paths])
-    return text.select("value", F.col("_metadata.file_path").alias("path"))
+    return text.select("value", F.col("_metadata.file_path").alias("path"), *more)
 
 
 def _listed(metadata_path: str) -> str:

@@ -101,6 +101,26 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def start_reader(spark: SparkSession, sample_path: str) -> Callable[[str, int], tuple[str, bool]]:
+    """A function that gives the text of the first bytes of a file, and whether that is all
+    of it; for many files on the file system of ``sample_path``."""
+    # Looked up once: each dotted name costs a round trip per part.
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    bounded_class = spark._jvm.org.apache.commons.io.input.BoundedInputStream
+    to_text = spark._jvm.org.apache.commons.io.IOUtils.toString
+    fs, _ = _at(spark, sample_path)
+
+    def read_start(path: str, size: int) -> tuple[str, bool]:
+        stream = fs.open(path_class(path))
+        try:
+            text = to_text(bounded_class(stream, size), "UTF-8")
+            return text, stream.getPos() < size
+        finally:
+            stream.close()
+
+    return read_start
+
+
 def write_swapped(spark: SparkSession, *waves: dict[str, Callable[[str], object]]) -> dict[str, object]:
     """Write each target to a staging folder beside it, then swap all of them in.
 

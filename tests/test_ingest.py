@@ -5,9 +5,11 @@ import pandas as pd
 import pytest
 
 from stridelake.plans.ingest import ingest
+from stridelake.sources import csv_folder
 from stridelake.sources.csv_folder import (
     column_names,
     files_with_open_quotes,
+    first_record,
     header_groups,
     read_csv_files,
     read_headers,
@@ -174,6 +176,39 @@ def test_header_names():
     assert column_names('"a, b",c') == ("a, b", "c")
 
 
+def test_first_record():
+    assert first_record("\n \r\na,b\r\n1", whole=False) == "a,b"
+    assert first_record("a,b", whole=False) is None
+    assert first_record("a,b", whole=True) == "a,b"
+    assert first_record('"a\n', whole=False) is None
+    assert first_record('"a\nb",c\n1', whole=False) == '"a\nb",c'
+    assert first_record(" \n\n", whole=True) is None
+
+
+def test_headers_of_many_files(spark, folder, monkeypatch):
+    texts = {
+        "a": "x,y\n1,2\n",
+        "b": "\n \t\nx,y\n3,4\n",
+        "c": b"\xef\xbb\xbfx,y\n",
+        "d": "y,x\r\nx,y\r\n",
+        "e": '"x\none",y\n1,2\n',
+        "f": '"x\ntwo",y\n1,2\n',
+        "g": "x,y",
+    }
+    raw = folder(**{f"{name}__csv": text for name, text in texts.items()})
+    paths = paths_in(spark, raw)
+    opened = read_headers(spark, paths)
+    monkeypatch.setattr(csv_folder, "OPENED_ONE_BY_ONE", 0)
+    assert read_headers(spark, paths) == opened
+    assert [opened[p] for p in paths] == ["x,y", "x,y", "x,y", "y,x", '"x\none",y', '"x\ntwo",y', "x,y"]
+
+
+def test_header_longer_than_the_first_read(spark, folder, at):
+    names = [f"column_{i}_{'x' * 40}" for i in range(1500)]
+    raw = folder(a__csv=",".join(names) + "\n" + ",".join("1" * 1500) + "\n")
+    assert column_names(read_headers(spark, paths_in(spark, raw))[paths_in(spark, raw)[0]]) == tuple(names)
+
+
 def test_header_over_two_lines(spark, folder, at):
     raw = folder(a__csv='"two\nlines",y\n1,2\n')
     assert list(read_headers(spark, paths_in(spark, raw)).values()) == ['"two\nlines",y']
