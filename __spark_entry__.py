@@ -7,12 +7,16 @@ sees ``events`` or ``lineitem`` as samples (``stridelake.proxies``); all rows ta
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from stridelake.exports import FIRST_WAVE, LATE_WAVE, csv_folder, once, plain_lake, write_csv_files
 from stridelake.functions.columns import day, magnitude
 from stridelake.functions.labels import ACTIVITY_LABELS, WRIST_LABELS, label, label_codes
@@ -139,7 +143,8 @@ def _mart_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.sql("CREATE DATABASE IF NOT EXISTS stridelake_marts")
+    location = scratch_path(spark, "database")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS stridelake_marts LOCATION '{location}'")
     publish_marts(spark, _mart_dir(spark, sf_dir), "stridelake_marts")
     return spark.table(f"stridelake_marts.{ACTIVITY_COUNTS}").drop(EVENT_MONTH)
 

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from stridelake.functions.inference import infer_types
 from stridelake.sources.csv_folder import read_csv_files
-from stridelake.sources.files import list_csv_files, write_swapped
+from stridelake.sources.files import is_flat, list_csv_files, write_swapped
 from stridelake.sources.lake import Misfit, column_types, write_lake
 
 log = logging.getLogger(__name__)
@@ -35,7 +35,7 @@ def ingest(
     if not paths:
         log.warning("No CSV files found in %s", raw_dir)
         return 0
-    raw = read_csv_files(spark, paths, multi_line)
+    raw = read_csv_files(spark, paths, multi_line, raw_dir if is_flat(spark, raw_dir) else None)
     types = column_types(raw)
 
     def write(staging: str) -> int:

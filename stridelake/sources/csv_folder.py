@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,27 +36,32 @@ class HeaderGroup:
     paths: tuple[str, ...]
 
 
-def read_csv_files(spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None) -> DataFrame:
+def read_csv_files(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None, folder: str | None = None
+) -> DataFrame:
     """All rows of the files as text columns, in first-seen column order, plus ``TOO_LONG``.
 
     ``multi_line`` says whether quoted values may hold line breaks. Files read that way
     cannot be split over tasks, so by default the lines are checked first (one scan of the
     text) and only the files that need it are read whole. ``False`` skips the check.
+
+    If the files are all there is in ``folder``, scans of all of them name the folder alone,
+    which is listed once instead of looking up every path.
     """
-    groups = header_groups(spark, paths, multi_line)
+    groups = header_groups(spark, paths, multi_line, folder)
     _refuse_case_twins(spark, [c for g in groups for c in g.columns])
-    frames = [_read_group(spark, g) for g in groups]
+    frames = [_read_group(spark, g, folder if len(groups) == 1 else None) for g in groups]
     united = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     names = list(dict.fromkeys(c for g in groups for c in g.columns))
     return united.select(*(quoted(n) for n in names), TOO_LONG)
 
 
 def header_groups(
-    spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None
+    spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None, folder: str | None = None
 ) -> list[HeaderGroup]:
-    headers = read_headers(spark, paths)
+    headers = read_headers(spark, paths, folder)
     if multi_line is None:
-        whole = files_with_open_quotes(spark, paths)
+        whole = files_with_open_quotes(spark, paths, folder)
     else:
         whole = set(paths) if multi_line else set()
     grouped: dict[tuple[tuple[str, ...], bool], list[str]] = {}
@@ -86,7 +91,7 @@ def column_names(header: str) -> tuple[str, ...]:
     return tuple(names)
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+def read_headers(spark: SparkSession, paths: Sequence[str], folder: str | None = None) -> dict[str, str]:
     """First record of each file that has one.
 
     A few files are opened here, one by one. With many, a scan first finds which have the
@@ -94,7 +99,7 @@ def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """
     if len(paths) <= OPENED_ONE_BY_ONE:
         return _open_headers(spark, paths)
-    kinds = _same_first_line(spark, paths)
+    kinds = _same_first_line(spark, paths, folder)
     opened = _open_headers(spark, [members[0] for members in kinds])
     headers: dict[str, str] = {}
     for members in kinds:
@@ -111,7 +116,7 @@ _HEADER_READERS = 32
 _HEADER_BYTES = 1 << 12
 
 
-def _same_first_line(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+def _same_first_line(spark: SparkSession, paths: Sequence[str], folder: str | None) -> list[list[str]]:
     """Files grouped by first non-blank line.
 
     The smallest (row number, hash of the line) of a file, packed into one number, gives the
@@ -121,7 +126,7 @@ def _same_first_line(spark: SparkSession, paths: Sequence[str]) -> list[list[str
     first = r"start = 0 AND trim(BOTH ' \t' FROM value) <> ''"
     packed = "shiftleft(id & 8589934591, 30) | (xxhash64(value, {}) & 1073741823)"
     keys = [f"min(CASE WHEN {first} THEN {packed.format(k)} END) & 1073741823 AS key_{k}" for k in range(3)]
-    lines = _lines(spark, paths, F.col("_metadata.file_block_start").alias("start"))
+    lines = _lines(spark, paths, folder, F.col("_metadata.file_block_start").alias("start"))
     lines = lines.withColumn("id", F.monotonically_increasing_id())
     kinds: dict[tuple, list[str]] = {}
     for path, *key in lines.groupBy("path").agg(*map(F.expr, keys)).collect():
@@ -165,13 +170,15 @@ def first_record(text: str, whole: bool) -> str | None:
     return record if whole else None
 
 
-def files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+def files_with_open_quotes(
+    spark: SparkSession, paths: Sequence[str], folder: str | None = None
+) -> set[str]:
     """Files with a line that is not a whole number of well-quoted fields.
 
     If every line is one, no record goes over a line end. Lines without a quote drop out
     in the scan, and each map task keeps one row per file.
     """
-    lines = _lines(spark, paths).where(F.contains("value", F.lit('"')))
+    lines = _lines(spark, paths, folder).where(F.contains("value", F.lit('"')))
     open_files = lines.where(_open_quote(F.col("value"))).select("path").distinct()
     return {_listed(r["path"]) for r in open_files.collect()}
 
@@ -190,22 +197,28 @@ def _open_quote(line: Column) -> Column:
     return (count % 2 == 0) | F.array_contains(F.transform(pieces, ill_placed), True)
 
 
-def _lines(spark: SparkSession, paths: Sequence[str], *more: Column) -> DataFrame:
-    text = spark.read.text([literal_path(p) for p in paths])
+def _lines(spark: SparkSession, paths: Sequence[str], folder: str | None, *more: Column) -> DataFrame:
+    text = _scan(spark.read.format("text"), paths, folder)
     return text.select("value", F.col("_metadata.file_path").alias("path"), *more)
 
 
+def _scan(reader: DataFrameReader, paths: Sequence[str], folder: str | None) -> DataFrame:
+    if folder is not None:
+        whole = reader.option("pathGlobFilter", "*.csv").load(literal_path(folder))
+        if len(whole._jdf.inputFiles()) == len(paths):  # no file came or went since they were listed
+            return whole
+    return reader.load([literal_path(p) for p in paths])
+
+
 def _listed(metadata_path: str) -> str:
     """Path as listed; scan metadata gives it URL-encoded, with or without an empty host."""
     path = unquote(metadata_path)
     return "file:" + path[len("file://"):] if path.startswith("file:///") else path
 
 
-def _read_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
+def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*group.columns, MALFORMED)])
-    rows = spark.read.csv(
-        [literal_path(p) for p in group.paths],
-        schema=schema,
+    reader = spark.read.format("csv").schema(schema).options(
         header=True,
         quote='"',
         escape='"',
@@ -213,6 +226,7 @@ def _read_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=MALFORMED,
     )
+    rows = _scan(reader, group.paths, folder)
     # Rows with too few fields are padded; rows with too many must not lose any.
     unquoted = F.regexp_replace(MALFORMED, '"[^"]*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1

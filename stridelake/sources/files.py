@@ -73,6 +73,10 @@ def list_csv_files(spark: SparkSession, raw_dir: str) -> list[Entry]:
     return sorted(files, key=lambda e: e.path)
 
 
+def is_flat(spark: SparkSession, folder: str) -> bool:
+    return not any(e.is_directory for e in list_folder(spark, folder))
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     fs, jpath = _at(spark, pattern)
     return [status.getPath().toString() for status in fs.globStatus(jpath) or []]

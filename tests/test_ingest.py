@@ -320,6 +320,37 @@ def test_without_rebalance_gives_the_same_rows(spark, folder, at):
     assert lake_rows(spark, at("one")) == lake_rows(spark, at("two"))
 
 
+def test_file_that_arrives_while_reading(spark, folder, monkeypatch):
+    raw = folder(a__csv="x,y\n1,2\n", b__csv="x,y\n3,4\n")
+    paths = paths_in(spark, raw)
+    assert read_csv_files(spark, paths, folder=raw).count() == 2
+    folder(c__csv="y,x\n5,6\n")  # not listed, other header
+    late = read_csv_files(spark, paths, folder=raw)
+    assert sorted((r.x, r.y) for r in late.collect()) == [("1", "2"), ("3", "4")]
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_path, at):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for part in range(6):
+        with open(raw / f"{part}.csv", "w") as f:
+            f.write("date,username,v\n")
+            f.writelines(f"2020-1-{1 if i % 3 else 1 + i % 28},u{i * 7919 % 1000003},{i}\n" for i in range(20_000))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 18))
+    try:
+        assert ingest(spark, str(raw), at("lake")) == 120_000
+    finally:
+        spark.conf.set(key, before)
+    days = [d for d in os.listdir(at("lake")) if "=" in d]
+    files = {d: sum(n.endswith("parquet") for n in os.listdir(at("lake", d))) for d in days}
+    assert files.pop("event_date=2020-01-01") > 2
+    # days that share the hot day's shuffle partition are split with it; the others are not
+    assert sorted(files.values())[len(files) // 2] == 1
+    assert read_lake(spark, at("lake")).count() == 120_000
+
+
 def test_splittable_read_of_one_large_file(spark, tmp_path):
     path = tmp_path / "large.csv"
     with open(path, "w") as f:

@@ -193,7 +193,7 @@ def test_empty_lake(spark, at):
 def test_catalog_tables(spark, at):
     sample_runs(spark).write.parquet(at("lake"))
     build_marts(spark, at("lake"), at("marts"))
-    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS published LOCATION '{at('database')}'")
     publish_marts(spark, at("marts"), "published")
     tables = {t.name for t in spark.catalog.listTables("published")}
     assert set(MART_SCHEMAS) <= tables

@@ -53,6 +53,9 @@ def test_query_matches_sql(spark, duck, name):
         assert want
     wrong = [(g, w) for g, w in zip(got, want) if not all(map(_same, g, w))]
     assert not wrong, wrong[:3]
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas", "MapInArrow"):
+        assert operator not in plan
 
 
 def test_entry_has_rows(spark):
