@@ -138,7 +138,7 @@ def test_latest_of_few_rows_and_missing_dates(spark):
     assert latest_summary(few.limit(0)).isEmpty()
 
 
-def test_latest_reads_no_old_partitions(spark, at):
+def test_latest_pushes_its_cutoff_into_the_scan(spark, at):
     generated_runs(spark, 4_000, users=8, days=400).write.parquet(at("lake"))
     build_marts(spark, at("lake"), at("marts"))
     summary = load_summary(spark, at("marts"))
@@ -147,6 +147,7 @@ def test_latest_reads_no_old_partitions(spark, at):
     assert rows(latest.select("date", "username")) == want
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+    assert "PushedFilters: [Or(GreaterThanOrEqual(date,ScalarSubquery" in plan
 
 
 def test_query(spark, at):
