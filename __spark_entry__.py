@@ -38,6 +38,11 @@ from stridelake.session import scratch_path
 from stridelake.sources.lake import read_lake, register_runs
 from stridelake.streaming.incremental import run_incremental
 
+try:
+    from stridelake.llm import queries as training_data
+except ImportError:
+    training_data = None
+
 USER = "user_7"
 START, END = "2024-01-10", "2024-01-16"
 
@@ -195,7 +200,7 @@ def _chosen(spark: SparkSession, sf_dir: str, user: str | None = None, **days: s
     return select_rows(_summary(spark, sf_dir), user, **days)
 
 
-def queries() -> dict[str, Query]:
+def base_queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         # marts
         "daily_user_summary": _summary,
@@ -370,7 +375,7 @@ def _distribution(label_sql: str, code: str) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def base_oracle_sql() -> dict[str, str]:
     whole_summary = _on_summary(f"SELECT {_SUMMARY_COLUMNS} FROM summary")
     csv_summary = _on_summary(f"SELECT {_SUMMARY_COLUMNS} FROM summary", "csv_runs", f"{_CSV_RUNS},")
     latest = _on_summary(
@@ -480,3 +485,11 @@ WITH {_RUNS},{_CSV_RUNS}
         "summary_json": latest,
         "summary_json_file": whole_summary,
     }
+
+
+def queries() -> dict[str, Query]:
+    return base_queries() | (training_data.QUERIES if training_data else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return base_oracle_sql() | (training_data.ORACLES if training_data else {})

@@ -7,11 +7,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import base_oracle_sql, base_queries, entry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = queries()
-ORACLES = oracle_sql()
+QUERIES = base_queries()
+ORACLES = base_oracle_sql()
 
 
 @pytest.fixture(scope="module")
