@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from stridelake.llm import decontamination
 from stridelake.llm.bpe import op8_bpe_codec
 from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
 QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op8_bpe_codec": op8_bpe_codec,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontamination": decontamination.ORACLE,
+}
