@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from stridelake.llm import decontamination
+from stridelake.llm import chat, decontamination
 from stridelake.llm.bpe import op8_bpe_codec
 from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
 QUERIES = {
+    "op1_chat_format": chat.op1_chat_format,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op6_decontamination": decontamination.op6_decontamination,
     "op8_bpe_codec": op8_bpe_codec,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_chat_format": chat.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
 }
