@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stridelake.llm import chat, decontamination
+from stridelake.llm import chat, decontamination, kd_shards
 from stridelake.llm.bpe import op8_bpe_codec
 from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
@@ -11,6 +11,7 @@ QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_kd_sharding": kd_shards.op7_kd_sharding,
     "op8_bpe_codec": op8_bpe_codec,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
