@@ -22,9 +22,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.shared import table
+from stridelake.llm.shared import free_name, table
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+_AT_ONCE = 256
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -115,8 +116,9 @@ class Bpe:
         def put(word, symbols):
             if len(word):
                 first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                for w, ids in zip(word[first].tolist(), np.split(symbols, first[1:])):
-                    done[w] = ids.tolist()
+                ids, ends = symbols.tolist(), [*first[1:].tolist(), len(symbols)]
+                for w, a, b in zip(word[first].tolist(), first.tolist(), ends):
+                    done[w] = ids[a:b]
 
         while len(symbols):
             pair = symbols[:-1] * self.base + symbols[1:]
@@ -161,6 +163,13 @@ class Bpe:
         return " ".join(self.tokens[ids].tolist())
 
 
+def _slices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Few rows at a time, so that results of a large batch don't pile up."""
+    for batch in batches:
+        for at in range(0, len(batch), _AT_ONCE):
+            yield batch.iloc[at : at + _AT_ONCE]
+
+
 def encode(text: Column, path: str | None = None) -> Column:
     """Token ids of whole texts; null and empty texts, and texts without a word, give an empty array."""
     path = path or default_path()
@@ -168,11 +177,8 @@ def encode(text: Column, path: str | None = None) -> Column:
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = Bpe(path)
-        for texts in batches:
-            out: list[np.ndarray] = []
-            for at in range(0, len(texts), 256):
-                out += bpe.encode([t or "" for t in texts.iloc[at : at + 256]])
-            yield pd.Series(out, dtype=object)
+        for texts in _slices(batches):
+            yield pd.Series(bpe.encode([t or "" for t in texts]), dtype=object)
 
     return of_batches(text)
 
@@ -184,18 +190,34 @@ def decode(ids: Column, path: str | None = None) -> Column:
     @F.pandas_udf(T.StringType())
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = Bpe(path)
-        for arrays in batches:
+        for arrays in _slices(batches):
             yield pd.Series(["" if a is None else bpe.decode(a) for a in arrays], dtype=object)
 
     return of_batches(ids)
 
 
+def round_trip(text: Column, path: str | None = None) -> Column:
+    """Struct of ids, as by ``encode``, and decoded, as by ``decode`` of these ids, in one pass over the texts."""
+    path = path or default_path()
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = Bpe(path)
+        for texts in _slices(batches):
+            ids = bpe.encode([t or "" for t in texts])
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [bpe.decode(i) for i in ids]})
+
+    return of_batches(text)
+
+
 def encoded(docs, path: str | None = None):
     """``docs`` with the columns ``ids`` and ``decoded``, which replace columns of these names.
 
     Every row gives one row, repeated ones too; null and empty texts have no ids and decode to the empty text.
     """
-    return docs.withColumn("ids", encode(F.col("text"), path)).withColumn("decoded", decode(F.col("ids"), path))
+    both = free_name(docs, "coded")
+    coded = docs.withColumn(both, round_trip(F.col("text"), path))
+    return coded.withColumns({n: F.col(both)[n] for n in ("ids", "decoded")}).drop(both)
 
 
 def digests(docs, path: str | None = None):
