@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,27 +35,59 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most: int) -> DataFrame:
-    """About ``most`` rows (text, target) of each of the two classes of ``label``, for fitting.
+LONGEST_TO_LEARN = 50_000
 
-    Documents and labels meet on doc_id; rows whose id, text or label is null take no part. The
-    sample is a threshold on a hash of id and text, set from the counts, so that it is spread over all
-    rows and the same in every run. ``keep`` says which documents may be learnt from.
+
+def _thresholds(target: str, counts: dict, most: int, id_col: str) -> Column:
+    """True for about ``most`` rows of each class: a threshold on a hash of the id, set from the counts."""
+    chance = F.xxhash64(F.col(id_col), F.lit(11)) / F.lit(float(2**63))
+    share = F.lit(-2.0)
+    for value, n in counts.items():
+        share = F.when(F.col(target) == value, F.lit(2.0 * min(1.0, most / n) - 1.0)).otherwise(share)
+    return chance <= share
+
+
+def _counts(df: DataFrame) -> dict:
+    return {r["target"]: r["n"] for r in df.groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def learnt_rows(docs: DataFrame, most: int) -> tuple[list[tuple], dict]:
+    """About ``most`` (text, target) of each class of ``docs`` (doc_id, text, target), for fitting on the driver.
+
+    Rows with a null in text or target and texts over ``LONGEST_TO_LEARN`` bytes are not learnt from. The sample
+    is spread over all rows and the same in every run. Also the number of rows of each class.
+    """
+    usable = docs.where(F.col("text").isNotNull() & F.col("target").isNotNull() & (F.octet_length("text") <= LONGEST_TO_LEARN))
+    counts = _counts(usable)
+    rows = usable.where(_thresholds("target", counts, most, "doc_id")).select("text", "target").collect()
+    return sorted((r["text"], r["target"]) for r in rows), counts
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most: int) -> tuple[list[tuple], dict]:
+    """As ``learnt_rows``, the target being the 0 or 1 that ``labels`` has in ``label`` for the document.
+
+    ``keep`` says which ids may be learnt from. Ids labelled twice count by the larger label.
     """
     marks = (
         labels.select("doc_id", F.col(label).cast("int").alias("target"))
-        .where(F.col("doc_id").isNotNull() & F.col("target").isin(0, 1))
+        .where(F.col("doc_id").isNotNull() & F.col("target").isin(0, 1) & keep)
         .groupBy("doc_id")
         .agg(F.max("target").alias("target"))
     )
-    usable = marks.where(keep)
-    counts = {r["target"]: r["n"] for r in usable.groupBy("target").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chance = F.xxhash64(F.col("doc_id"), F.lit(11)) / F.lit(float(2**63))
-    share = F.lit(0.0)
-    for target, n in counts.items():
-        share = F.when(F.col("target") == target, F.lit(2.0 * min(1.0, most / n) - 1.0)).otherwise(share)
-    chosen = usable.where(chance <= share)
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id").select("text", "target")
+    counts = _counts(marks)
+    chosen = marks.where(_thresholds("target", counts, most, "doc_id"))  # bounded by most: may be broadcast
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    met = met.where(F.col("text").isNotNull() & (F.octet_length("text") <= LONGEST_TO_LEARN))
+    return sorted((r["text"], r["target"]) for r in met.select("text", "target").collect()), counts
+
+
+def sent(spark: SparkSession, model):
+    """A broadcast of the model that is read with ``received``; its code travels with it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(broadcast):
+    return cloudpickle.loads(broadcast.value)
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
