@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as the embedding of the word, if it was frequent enough in training, beside the mean of the
-embeddings of its character trigrams. Both directions run over windows of words that overlap and cover
+A word enters as the embedding of the word, if it was frequent enough in training, beside the largest
+values among the embeddings of its character trigrams and beginnings. Runs of one word count as one. Both directions run over windows of words that overlap and cover
 the whole text; attention weighs the states of a window into one vector and that gives the window's
 logit. A document's logit is its highest window's. Training goes by documents: each round scores all
 windows and learns from each document's highest.
@@ -25,8 +25,9 @@ MOST = 2000
 THRESHOLD = 0.5
 WINDOW, STRIDE = 24, 16
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 16, 8, 8, 8
-TRIGRAMS = 4096
-FREQUENT = 5
+GRAMS = 1 << 15
+#: Words are learnt by name if this share of the training documents has them, and five of them.
+FREQUENT = 0.003
 KNOWN_WORDS = 150_000
 _AT_ONCE = 4096
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&$-_/\\"
@@ -36,9 +37,17 @@ def _plain(token: str) -> str:
     return token.strip(_EDGE)
 
 
-def _trigrams(word: str) -> list[int]:
-    marked = f"^{word}$".encode("utf-8", "surrogatepass")
-    return [zlib.crc32(marked[i : i + 3]) % TRIGRAMS for i in range(max(1, len(marked) - 2))]
+def _grams(word: str) -> list[int]:
+    """Character trigrams, and beginnings of three to eight characters, by hash."""
+    marked = f"^{word}$"
+    parts = [marked[i : i + 3] for i in range(max(1, len(marked) - 2))]
+    parts += [marked[:i] for i in range(4, min(9, len(marked)) + 1)]
+    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % GRAMS for g in parts]
+
+
+def _words(text: str) -> list[str]:
+    tokens = text.lower().split()
+    return [a for a, b in zip(tokens, [None, *tokens]) if a != b]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -70,7 +79,7 @@ class Network:
 
         self.vocabulary: dict[str, int] = {}
         self.p = {
-            "chars": normal(TRIGRAMS, CHAR_DIM, scale=0.05),
+            "chars": normal(GRAMS, CHAR_DIM, scale=0.02),
             "words": np.zeros((1, WORD_DIM), np.float32),
             "w": normal(2, d, 3 * h, scale=d**-0.5),
             "b": np.zeros((2, 1, 3 * h), np.float32),
@@ -89,14 +98,14 @@ class Network:
     # inputs
 
     def _inputs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of the words, their place in the vocabulary (0: none), trigrams one after the other and how many."""
+        """Rows of the words, their place in the vocabulary (0: none), grams one after the other and how many."""
         place = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-        grams = [_trigrams(w) for w in words]
+        grams = [_grams(w) for w in words]
         n = np.fromiter(map(len, grams), np.int64, len(grams))
         flat = np.fromiter((g for x in grams for g in x), np.int64, int(n.sum()))
         first = np.cumsum(n) - n
-        mean = np.add.reduceat(self.p["chars"][flat], first, axis=0) / n[:, None] if len(words) else np.zeros((0, CHAR_DIM))
-        return np.hstack([self.p["words"][place], mean]).astype(np.float32), place, flat, n
+        most = np.maximum.reduceat(self.p["chars"][flat], first, axis=0) if len(words) else np.zeros((0, CHAR_DIM))
+        return np.hstack([self.p["words"][place], most]).astype(np.float32), place, flat, n
 
     def _lookup(self, tokens: list[str]) -> np.ndarray:
         """Rows of ``gates`` of the tokens, new words added."""
@@ -184,7 +193,7 @@ class Network:
 
     def logits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The highest window's logit of each text (-inf without words), that window's start and length."""
-        tokens = [t.lower().split() if t else [] for t in texts]
+        tokens = [_words(t) if t else [] for t in texts]
         sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         start, length, text = windows(sizes)
         best, at = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
@@ -203,13 +212,14 @@ class Network:
 
     # training
 
-    def fit(self, rows: list[tuple], counts: dict, rounds: int = 14, batch: int = 256, step: float = 0.01) -> Network:
+    def fit(self, rows: list[tuple], counts: dict, rounds: int = 7, batch: int = 256, step: float = 0.01) -> Network:
+        rows = sorted(set(rows))  # copies would make a document's rare words look like signs of its label
         target = np.array([t for _, t in rows], np.float32)
         if len(set(target.tolist())) < 2:  # nothing to tell apart: every text scores the label's share
             share = float(np.clip(target.mean() if len(target) else 0.0, 1e-4, 1 - 1e-4))
             self.scale = np.array([0.0, np.log(share / (1 - share))])
             return self
-        tokens = [[_plain(w) for w in t.lower().split()] for t, _ in rows]
+        tokens = [[_plain(w) for w in _words(t)] for t, _ in rows]
         self._start_words(tokens, target)
         sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         words = list(dict.fromkeys(w for t in tokens for w in t))
@@ -241,20 +251,32 @@ class Network:
         return self
 
     def _start_words(self, tokens: list[list[str]], target: np.ndarray) -> None:
-        """The vocabulary: words of at least ``FREQUENT`` documents; their first number is the log odds of the label."""
-        seen: dict[str, list[int]] = {}
-        for t, y in zip(tokens, target.tolist()):
+        """The vocabulary, and the log odds of the label as the first number of words and grams."""
+        seen: dict[str, np.ndarray] = {}
+        grams, of_word = np.zeros((GRAMS, 2)), {}
+        for t, y in zip(tokens, target.astype(int).tolist()):
+            some = set()
             for w in set(t):
-                seen.setdefault(w, [0, 0])[int(y)] += 1
-        kept = sorted(w for w, (a, b) in seen.items() if w and a + b >= FREQUENT)
-        self.vocabulary = {w: i + 1 for i, w in enumerate(kept)}
+                seen.setdefault(w, [0, 0])[y] += 1
+                if w not in of_word:
+                    of_word[w] = _grams(w)
+                some.update(of_word[w])
+            grams[list(some), y] += 1
         ones, rest = target.sum(), len(target) - target.sum()
-        table_ = np.random.default_rng(1).standard_normal((len(kept) + 1, WORD_DIM)).astype(np.float32) * 0.05
-        table_[0] = 0
-        for w, i in self.vocabulary.items():
-            a, b = seen[w]
-            table_[i, 0] = 0.5 * np.log(((b + 1) / (ones + 2)) / ((a + 1) / (rest + 2)))
-        self.p["words"] = table_
+        least = max(5, FREQUENT * len(tokens))
+
+        def odds(counts: np.ndarray) -> np.ndarray:
+            value = 0.5 * np.log(((counts[:, 1] + 1) / (ones + 2)) / ((counts[:, 0] + 1) / (rest + 2)))
+            return np.where(counts.sum(axis=1) >= least, value, 0)
+
+        kept = sorted(w for w, c in seen.items() if w and sum(c) >= least)
+        self.vocabulary = {w: i + 1 for i, w in enumerate(kept)}
+        start = np.random.default_rng(1).standard_normal((len(kept) + 1, WORD_DIM)).astype(np.float32) * 0.05
+        start[0] = 0
+        if kept:
+            start[1:, 0] = odds(np.array([seen[w] for w in kept]))
+        self.p["words"] = start
+        self.p["chars"][:, 0] = odds(grams)
 
     def _learn(self, chosen, flat, start, length, text, target, balance, words, place, grams, n, moments, step, k) -> None:
         s, size = start[chosen], length[chosen]
@@ -278,7 +300,8 @@ class Network:
         grad["words"], grad["chars"] = np.zeros_like(self.p["words"]), np.zeros_like(self.p["chars"])
         np.add.at(grad["words"], place, dx[:, :WORD_DIM])
         grad["words"][0] = 0
-        np.add.at(grad["chars"], grams, np.repeat(dx[:, WORD_DIM:] / n[:, None], n, axis=0))
+        largest = self.p["chars"][grams] == np.repeat(x[:, WORD_DIM:], n, axis=0)
+        np.add.at(grad["chars"], grams, np.where(largest, np.repeat(dx[:, WORD_DIM:], n, axis=0), 0))
         norm = np.sqrt(sum(float((v * v).sum()) for v in grad.values()))
         for name, v in grad.items():
             m1, m2 = moments[name]
