@@ -6,12 +6,14 @@ from stridelake.llm import chat, decontamination, kd_shards
 from stridelake.llm.bpe import op8_bpe_codec
 from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.gru_toxicity import op5_toxicity_gru
+from stridelake.llm.language_svm import op3_language_svm
 from stridelake.llm.line_crf import op4_quality_crf
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_language_svm": op3_language_svm,
     "op4_quality_crf": op4_quality_crf,
     "op5_toxicity_gru": op5_toxicity_gru,
     "op6_decontamination": decontamination.op6_decontamination,
