@@ -8,6 +8,7 @@ from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.gru_toxicity import op5_toxicity_gru
 from stridelake.llm.language_svm import op3_language_svm
 from stridelake.llm.line_crf import op4_quality_crf
+from stridelake.llm.secret_scan import op9_secret_scan
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_kd_sharding": kd_shards.op7_kd_sharding,
     "op8_bpe_codec": op8_bpe_codec,
+    "op9_secret_scan": op9_secret_scan,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
