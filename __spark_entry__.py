@@ -39,9 +39,10 @@ from stridelake.sources.lake import read_lake, register_runs
 from stridelake.streaming.incremental import run_incremental
 
 try:
+    import corpus_pipeline
     from stridelake.llm import queries as training_data
 except ImportError:
-    training_data = None
+    corpus_pipeline = training_data = None
 
 USER = "user_7"
 START, END = "2024-01-10", "2024-01-16"
@@ -488,7 +489,9 @@ WITH {_RUNS},{_CSV_RUNS}
 
 
 def queries() -> dict[str, Query]:
-    return base_queries() | (training_data.QUERIES if training_data else {})
+    if training_data is None:
+        return base_queries()
+    return base_queries() | training_data.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
