@@ -140,28 +140,27 @@ def formatted(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     gathered = placed.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("at", "role", segments.alias("segments")))).alias("turns")
     )
-    step = F.lit(None).cast("string")
     allowed = [(s, r) for s, after in template.transitions.items() for r in after]
 
     def follows(state: Column, role: Column) -> Column:
         pairs = F.lit(False)
         for s, r in allowed:
             pairs = pairs | ((state == s) & (role == r))
-        return F.when(pairs, role).otherwise(step)
+        return pairs
 
     machine = F.aggregate(
         "turns",
-        F.struct(F.lit("").alias("state"), F.lit(0).alias("at")),
+        F.struct(F.lit("").alias("state"), F.lit(True).alias("going"), F.lit(0).alias("at")),
         lambda done, t: F.when(
-            done["state"].isNotNull() & follows(done["state"], t["role"]).isNotNull(),
-            F.struct(t["role"].alias("state"), (done["at"] + 1).alias("at")),
-        ).otherwise(F.struct(step.alias("state"), done["at"].alias("at"))),
+            done["going"] & follows(done["state"], t["role"]),
+            F.struct(t["role"].alias("state"), F.lit(True).alias("going"), (done["at"] + 1).alias("at")),
+        ).otherwise(F.struct(done["state"].alias("state"), F.lit(False).alias("going"), done["at"].alias("at"))),
     )
     placed = gathered.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), machine.alias("end"),
         F.flatten(F.transform("turns", lambda t: t["segments"])).alias("segments"),
     )
-    valid = F.coalesce(F.col("end.state").isin(*template.final), F.lit(False))
+    valid = F.col("end.going") & F.col("end.state").isin(*template.final)
     return placed.select(
         "conv_id", "n_turns", "segments",
         F.concat(F.lit(template.start), F.array_join(F.transform("segments", lambda s: s["text"]), "")).alias("formatted"),
