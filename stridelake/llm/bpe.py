@@ -205,7 +205,7 @@ def round_trip(text: Column, path: str | None = None) -> Column:
         bpe = Bpe(path)
         for texts in _slices(batches):
             ids = bpe.encode([t or "" for t in texts])
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [bpe.decode(i) for i in ids]})
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([bpe.decode(i) for i in ids], dtype=object)})
 
     return of_batches(text)
 

@@ -219,7 +219,8 @@ class Network:
             share = float(np.clip(target.mean() if len(target) else 0.0, 1e-4, 1 - 1e-4))
             self.scale = np.array([0.0, np.log(share / (1 - share))])
             return self
-        tokens = [[_plain(w) for w in _words(t)] for t, _ in rows]
+        same: dict[str, str] = {}  # one copy of every word
+        tokens = [[same.setdefault(w, w) for w in map(_plain, _words(t))] for t, _ in rows]
         self._start_words(tokens, target)
         sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         words = list(dict.fromkeys(w for t in tokens for w in t))

@@ -153,7 +153,7 @@ def language(text: Column, broadcast) -> Column:
         for texts in batches:
             for at in range(0, len(texts), 256):
                 names, scores = model.predict(texts.iloc[at : at + 256].tolist())
-                yield pd.DataFrame({"lang_pred": names, "score": scores})
+                yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": scores})
 
     return of_batches(text)
 

@@ -93,9 +93,9 @@ def _count_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 pairs += np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=_CLASSES**2)
                 words.update(w for w in text.lower().split() if 3 <= len(w) <= 12)
         if len(words) > 300_000:
-            yield pd.DataFrame({"word": list(words), "pair": -1, "n": list(words.values())})
+            yield pd.DataFrame({"word": pd.Series(list(words), dtype=object), "pair": -1, "n": list(words.values())})
             words.clear()
-    yield pd.DataFrame({"word": list(words), "pair": -1, "n": list(words.values())})
+    yield pd.DataFrame({"word": pd.Series(list(words), dtype=object), "pair": -1, "n": list(words.values())})
     some = np.flatnonzero(pairs)
     yield pd.DataFrame({"word": "", "pair": some, "n": pairs[some]})
 
@@ -239,7 +239,7 @@ def findings(docs: DataFrame) -> DataFrame:
     def of_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [context(t, a, b) for t in batch["text"] if t for a, b in candidates(t)]
-            yield pd.DataFrame(rows, columns=["before", "candidate", "after"])
+            yield pd.DataFrame(rows, columns=["before", "candidate", "after"], dtype=object)
 
     return docs.select("text").mapInPandas(of_part, "before string, candidate string, after string")
 
@@ -294,7 +294,7 @@ def scanned(text: Column, broadcast, threshold: float = THRESHOLD) -> Column:
                         shown += [text[last : s["start"]], MASK]
                         last = s["end"]
                     rows.append((len(found), secrets, text if not secrets else "".join([*shown, text[last:]])))
-                yield pd.DataFrame(rows, columns=["n_candidates", "secrets", "redacted"])
+                yield pd.DataFrame(rows, columns=["n_candidates", "secrets", "redacted"], dtype=object)
 
     return of_batches(text)
 

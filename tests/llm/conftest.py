@@ -1,0 +1,37 @@
+import os
+import sys
+
+import duckdb
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+from awkward import CLASHING  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def docs_of(spark):
+    def build(rows, lang="en", clashing=True):
+        names = ["doc_id", "text", "lang", "source", "n_chars"]
+        extra = CLASHING if clashing else {}
+        data = [(i, t, lang, "src0", len(t) if t else None, *extra.values()) for i, t in rows]
+        kinds = {float: "double", int: "int", str: "string"}
+        schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(
+            f", {k} {kinds[type(v)]}" for k, v in extra.items()
+        )
+        return spark.createDataFrame(data, schema).select(*names, *extra)
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def texts():
+    """(doc_id, text, lang) of the small documents table."""
+    return duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF_DIR}/documents.parquet' ORDER BY doc_id").fetchall()
+
+
+@pytest.fixture(scope="session")
+def labels():
+    return {i: (q, t) for i, q, t in duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{SF_DIR}/labels.parquet'").fetchall()}
