@@ -92,7 +92,7 @@ def _count_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 kinds = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_TABLE), np.uint8).astype(np.int64)
                 pairs += np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=_CLASSES**2)
                 words.update(w for w in text.lower().split() if 3 <= len(w) <= 12)
-        if len(words) > 300_000:
+        if len(words) > 150_000:
             yield pd.DataFrame({"word": pd.Series(list(words), dtype=object), "pair": -1, "n": list(words.values())})
             words.clear()
     yield pd.DataFrame({"word": pd.Series(list(words), dtype=object), "pair": -1, "n": list(words.values())})
@@ -110,7 +110,11 @@ class Corpus:
 
 
 def corpus(docs: DataFrame, dictionary: int = DICTIONARY) -> Corpus:
-    """``dictionary`` bounds the words that the driver and the tasks hold; all documents are counted for it."""
+    """``dictionary`` bounds the words that the driver and the tasks hold; all documents are counted for it.
+
+    The words are those above the lowest frequency (in steps of 1/16 of a power of two) that leaves no more than
+    that many, so that the driver gets the words alone and not the best of every task.
+    """
     counts = saved(
         docs.select("text").mapInPandas(_count_part, "word string, pair long, n long").groupBy("word", "pair").agg(F.sum("n").alias("n")),
         "secrets-counts",
@@ -118,8 +122,16 @@ def corpus(docs: DataFrame, dictionary: int = DICTIONARY) -> Corpus:
     pairs = np.zeros(_CLASSES * _CLASSES)
     for r in counts.where("pair >= 0").collect():
         pairs[r["pair"]] = r["n"]
-    top = counts.where("pair < 0").orderBy(F.desc("n"), "word").limit(dictionary).collect()
-    words = {"".join(_LETTERS.findall(r["word"])) for r in top if r["n"] > 1}
+    step = F.floor(F.log2("n") * 16)
+    frequent = counts.where("pair < 0 AND n > 1").withColumn("step", step)
+    left, lowest = dictionary, None
+    for r in sorted(frequent.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        left -= r["words"]
+        if left < 0:
+            break
+        lowest = r["step"]
+    top = frequent.where(F.col("step") >= lowest).select("word").collect() if lowest is not None else []
+    words = {"".join(_LETTERS.findall(r["word"])) for r in top}
     return Corpus({w for w in words if len(w) >= 3}, pairs)
 
 
