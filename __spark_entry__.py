@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stridelake.exports import FIRST_WAVE, LATE_WAVE, csv_folder, once, plain_lake, write_csv_files
+from stridelake.exports import FIRST_WAVE, LATE_WAVE, arrive, csv_folder, once, plain_lake, write_csv_files
 from stridelake.functions.columns import day, magnitude
 from stridelake.functions.labels import ACTIVITY_LABELS, WRIST_LABELS, label, label_codes
 from stridelake.operators import figures, marts
@@ -30,8 +30,8 @@ from stridelake.plans.batch import run_batch
 from stridelake.plans.build import build_marts, publish_marts
 from stridelake.plans.ingest import ingest
 from stridelake.plans.load import load_activity_counts, load_summary, stored_mart
-from stridelake.plans.report import CODE_COLUMNS
-from stridelake.plans.serve import json_rows, latest_summary, query, write_json
+from stridelake.plans.report import CODE_COLUMNS, report
+from stridelake.plans.serve import json_rows, latest_stored_summary, latest_summary, query, rows_as_dicts, write_json
 from stridelake.proxies import runs_from_events, runs_from_lineitem
 from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
 from stridelake.session import scratch_path
@@ -181,6 +181,70 @@ def _incremental(name: str) -> Query:
     return run
 
 
+def _old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``incremental_marts``, the files of the second wave being older than those of the first."""
+    mart_dir = scratch_path(spark, "old-marts")
+    raw, lake, checkpoint = (scratch_path(spark, p) for p in ("old-waves", "old-lake", "old-checkpoint"))
+    for wave, days in ((FIRST_WAVE, 0), (LATE_WAVE, 30)):
+        came = scratch_path(spark, "wave")
+        write_csv_files(spark, sf_dir, came, wave)
+        arrive(spark, came, raw, days)
+        run_incremental(spark, raw, lake, mart_dir, checkpoint)
+    return stored_mart(spark, SUMMARY, mart_dir)
+
+
+def _many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in more than 500 CSV files of two headers."""
+    raw = scratch_path(spark, "many-files")
+    runs = runs_from_events(spark, sf_dir, extra=[F.col("event_id")])
+    for rest, names in enumerate((["event_id", "username", "activity"], ["activity", "event_id", "username"])):
+        part = runs.where(F.col("event_id") % 2 == rest).repartition(300, "event_id")
+        part.select(*names).write.mode("append").csv(raw, header=True)
+    lake = scratch_path(spark, "many-files-lake")
+    ingest(spark, raw, lake)
+    return read_lake(spark, lake).select(*(F.col(n) for n in ("event_id", "username", "activity")))
+
+
+def _slash_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = runs_from_events(spark, sf_dir).withColumn("date", F.translate("date", "-", "/"))
+    return marts.daily_activity_counts(runs)
+
+
+def _report_table(name: str, user: str | None = None, **days: str) -> Query:
+    """One table of ``report`` over the stored marts."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        mart_dir = _mart_dir(spark, sf_dir)
+        summary, counts = (load(spark, mart_dir, keep_month=True) for load in (load_summary, load_activity_counts))
+        return report(summary, counts, user, **days)[name]
+
+    return run
+
+
+def _empty_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chosen(spark, sf_dir, "nobody").agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+
+
+def _mart_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _mart_catalog(spark, sf_dir)
+    return spark.sql("SHOW TABLES IN stridelake_marts").select(F.col("tableName").alias("table_name"))
+
+
+def _missing_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the samples, and of a lake that is not there, which adds no rows."""
+    return _activity_counts(spark, sf_dir).unionByName(load_activity_counts(spark, None, scratch_path(spark, "no-lake")))
+
+
+def _adhoc_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = "SELECT username, count(*) AS samples FROM runs GROUP BY username"
+    return query(spark, sql, _mart_dir(spark, sf_dir), plain_lake(spark, sf_dir))
+
+
+def _dict_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = query(spark, f"SELECT date, username, activity, cnt FROM {ACTIVITY_COUNTS}", _mart_dir(spark, sf_dir))
+    return spark.createDataFrame(rows_as_dicts(counts), counts.schema)
+
+
 def _adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query(spark, _ADHOC, _mart_dir(spark, sf_dir))
 
@@ -260,6 +324,24 @@ def base_queries() -> dict[str, Query]:
         "batch_marts": _batch_marts,
         "incremental_marts": _incremental(SUMMARY),
         "incremental_activity_counts": _incremental(ACTIVITY_COUNTS),
+        "incremental_old_files": _old_files,
+        "csv_ingest_many_files": _many_files,
+        "slash_dates": _slash_dates,
+        "report_users": _report_table("users"),
+        "report_bounds": _report_table("bounds"),
+        "report_figures": _report_table("figures", start=START, end=END),
+        "report_daily_total": _report_table("daily_total"),
+        "report_series": _report_table("series", USER),
+        "report_share": _report_table("share", USER, start=START, end=END),
+        "report_distribution": _report_table("distribution"),
+        "report_table": _report_table("table"),
+        "ordered_wrist_counts": lambda s, d: by_day_user_and_count(_wrist_counts(s, d), "wrist"),
+        "latest_stored_summary": lambda s, d: latest_stored_summary(s, _mart_dir(s, d)),
+        "empty_selection": _empty_selection,
+        "mart_listing": _mart_listing,
+        "missing_lake": _missing_lake,
+        "adhoc_sql_runs": _adhoc_runs,
+        "adhoc_dict_rows": _dict_rows,
         "adhoc_sql": _adhoc_sql,
         "summary_json": _summary_json,
         "summary_json_file": _summary_json_file,
@@ -399,6 +481,14 @@ def base_oracle_sql() -> dict[str, str]:
     def lineitem_counts(code: str) -> str:
         return f"WITH {_LINEITEM_RUNS},{_counts_cte(code)} SELECT * FROM counts"
 
+    labelled = _on_summary(
+        f"""
+  SELECT {_SUMMARY_COLUMNS.replace('top_activity, top_wrist, ', '')},
+         {_ACTIVITY_LABEL.replace('activity', 'top_activity')} AS top_activity,
+         {_WRIST_LABEL.replace('wrist', 'top_wrist')} AS top_wrist
+  FROM summary"""
+    )
+
     return {
         "daily_user_summary": whole_summary,
         "daily_activity_counts": activity_counts,
@@ -440,13 +530,7 @@ def base_oracle_sql() -> dict[str, str]:
         "wrist_distribution": _distribution(_WRIST_LABEL, "wrist"),
         "activity_share": _share(),
         "activity_share_user_and_range": _share(f"WHERE {of_user} AND {in_range}"),
-        "labelled_table": _on_summary(
-            f"""
-  SELECT {_SUMMARY_COLUMNS.replace('top_activity, top_wrist, ', '')},
-         {_ACTIVITY_LABEL.replace('activity', 'top_activity')} AS top_activity,
-         {_WRIST_LABEL.replace('wrist', 'top_wrist')} AS top_wrist
-  FROM summary"""
-        ),
+        "labelled_table": labelled,
         "ordered_activity_counts": activity_counts,
         "latest_summary": latest,
         "csv_ingest_union": f"""
@@ -480,6 +564,26 @@ WITH {_RUNS},{_CSV_RUNS}
         "batch_marts": csv_summary,
         "incremental_marts": csv_summary,
         "incremental_activity_counts": activity_counts,
+        "incremental_old_files": csv_summary,
+        "csv_ingest_many_files": samples("event_id, username, activity"),
+        "slash_dates": activity_counts,
+        "report_users": _on_summary("SELECT DISTINCT username FROM summary WHERE username IS NOT NULL"),
+        "report_bounds": _on_summary("SELECT min(date) AS first_date, max(date) AS last_date FROM summary"),
+        "report_figures": _on_summary(f"{_KPIS} WHERE {in_range}"),
+        "report_daily_total": _on_summary(
+            "SELECT date, CAST(sum(samples) AS BIGINT) AS samples FROM summary GROUP BY date"
+        ),
+        "report_series": _on_summary(f"SELECT date, username, samples FROM summary WHERE {of_user}"),
+        "report_share": _share(f"WHERE {of_user} AND {in_range}"),
+        "report_distribution": _distribution(_ACTIVITY_LABEL, "activity"),
+        "report_table": labelled,
+        "ordered_wrist_counts": wrist_counts,
+        "latest_stored_summary": latest,
+        "empty_selection": _on_summary("SELECT count(*) = 0 AS is_empty FROM summary WHERE username = 'nobody'"),
+        "mart_listing": f"SELECT unnest(['{ACTIVITY_COUNTS}', '{SUMMARY}', '{WRIST_COUNTS}']) AS table_name",
+        "missing_lake": activity_counts,
+        "adhoc_sql_runs": f"WITH {_RUNS} SELECT username, count(*) AS samples FROM runs GROUP BY username",
+        "adhoc_dict_rows": activity_counts,
         "adhoc_sql": _on_summary(
             f"SELECT * REPLACE (round(peak, 6) AS peak) FROM ({_ADHOC.replace('daily_user_summary', 'summary')})"
         ),

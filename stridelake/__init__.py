@@ -13,7 +13,7 @@ from stridelake.plans.build import build_marts
 from stridelake.plans.ingest import ingest
 from stridelake.plans.load import load_activity_counts, load_mart, load_summary
 from stridelake.plans.report import report
-from stridelake.plans.serve import latest_summary, query, rows_as_dicts
+from stridelake.plans.serve import iterate_dicts, latest_stored_summary, latest_summary, query, rows_as_dicts
 from stridelake.sources.lake import read_lake, register_runs
 from stridelake.streaming.incremental import run_incremental
 
@@ -27,6 +27,8 @@ __all__ = [
     "fallback_summary",
     "ingest",
     "label_codes",
+    "iterate_dicts",
+    "latest_stored_summary",
     "latest_summary",
     "load_activity_counts",
     "load_mart",

@@ -13,7 +13,7 @@ from stridelake.plans.build import build_marts
 from stridelake.plans.ingest import ingest
 from stridelake.plans.load import load_activity_counts, load_summary
 from stridelake.plans.report import report
-from stridelake.plans.serve import latest_summary, write_json
+from stridelake.plans.serve import latest_stored_summary, write_json
 from stridelake.streaming.incremental import run_incremental
 
 
@@ -72,17 +72,15 @@ def main(argv: list[str] | None = None) -> int:
         )
         print(f"{rows} new rows")
     elif args.job == "latest":
-        write_json(latest_summary(load_summary(spark, args.marts), args.rows), args.out)
+        write_json(latest_stored_summary(spark, args.marts, args.rows), args.out)
     else:
-        tables = report(
-            load_summary(spark, args.marts, args.lake),
-            load_activity_counts(spark, args.marts, args.lake),
-            args.user,
-            args.start,
-            args.end,
-        )
-        for name, table in tables.items():
+        # Eight tables from two: each is computed once. Users and bounds need the whole summary.
+        summary = load_summary(spark, args.marts, args.lake).persist()
+        counts = load_activity_counts(spark, args.marts, args.lake, start=args.start, end=args.end).persist()
+        for name, table in report(summary, counts, args.user, args.start, args.end).items():
             write_json(table, f"{args.out.rstrip('/')}/{name}")
+        summary.unpersist()
+        counts.unpersist()
     return 0
 
 

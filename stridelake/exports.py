@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stridelake.proxies import runs_from_events
 from stridelake.session import scratch_path
+from stridelake.sources.files import list_csv_files
 
 _AXES = ["acceleration_x", "acceleration_y", "acceleration_z", "gyro_x", "gyro_y", "gyro_z"]
 _LAYOUTS = {
@@ -65,3 +66,16 @@ def _runs_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
             layout.alias("layout"),
         ],
     )
+
+
+def arrive(spark: SparkSession, came: str, folder: str, days_old: int = 0) -> None:
+    """Move CSV files into ``folder``, their modification time so many days back."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for file in list_csv_files(spark, came):
+        target = path(f"{folder}/{file.name}")
+        fs.rename(path(file.path), target)
+        when = fs.getFileStatus(target).getModificationTime() - days_old * 86_400_000
+        fs.setTimes(target, when, -1)

@@ -29,19 +29,22 @@ def reading(name: str) -> Column:
 
 def magnitude(prefix: str = "acceleration") -> Column:
     """Length of the (x, y, z) vector of one sample; NULL if any axis is missing."""
-    squares = (f"power({reading_sql(f'{prefix}_{axis}')}, 2)" for axis in "xyz")
+    axes = [reading_sql(f"{prefix}_{axis}") for axis in "xyz"]
+    squares = (f"{axis} * {axis}" for axis in axes)
     return F.expr(f"sqrt({' + '.join(squares)})")
 
 
 def parse_day(name: str, on_bad_date: str = "error") -> Column:
-    """Day of a text date such as ``2017-6-30``.
+    """Day of a text date such as ``2017-6-30`` or ``2017/6/30``; a time may follow.
 
-    ``on_bad_date="error"`` fails the job on unreadable text, ``"null"`` gives NULL.
+    Year, month and day must all be there. ``on_bad_date="error"`` fails the job on unreadable
+    text, ``"null"`` gives NULL.
     """
     if on_bad_date not in ("error", "null"):
         raise ValueError(f"on_bad_date must be 'error' or 'null', not {on_bad_date!r}")
     text = sql_name(name)
-    day = f"try_cast({text} AS DATE)"
+    dashed = rf"regexp_replace({text}, r'^(\s*[+-]?\d+)/(\d+)/(\d+)', '$1-$2-$3')"
+    day = rf"CASE WHEN {dashed} RLIKE r'^\s*[+-]?\d+-\d+-\d' THEN try_cast({dashed} AS DATE) END"
     if on_bad_date == "null":
         return F.expr(day)
     failure = f"CAST(raise_error(concat('unreadable date: ', {text})) AS DATE)"

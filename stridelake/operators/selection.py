@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stridelake.schema import EVENT_MONTH
+
 ALL_USERS = "All"
 
 
@@ -19,15 +21,18 @@ def select_rows(
     """Rows of one user and of the days from ``start`` to ``end``, both included.
 
     No user, or ``"All"``, keeps every user. A missing bound keeps every day on its side.
-    The predicates are plain comparisons on stored columns: days prune partitions, the
-    user is pushed into the Parquet scan.
+    The predicates are plain comparisons on stored columns: where the rows still have their
+    month column it prunes partitions, user and days are pushed into the Parquet scan.
     """
+    monthly = EVENT_MONTH in df.columns
     if user is not None and user != ALL_USERS:
         df = df.where(F.col("username") == user)
     if start is not None:
         df = df.where(F.col("date") >= as_day(start))
+        df = df.where(F.col(EVENT_MONTH) >= F.trunc(as_day(start), "month")) if monthly else df
     if end is not None:
         df = df.where(F.col("date") <= as_day(end))
+        df = df.where(F.col(EVENT_MONTH) <= as_day(end)) if monthly else df
     return df
 
 
@@ -54,15 +59,5 @@ def by_day_user_and_count(df: DataFrame, code: str) -> DataFrame:
 
 
 def latest(summary: DataFrame, n: int = 100) -> DataFrame:
-    """The ``n`` rows with the latest days; equal days by username.
-
-    The n-th latest day is found first from the day column alone, so that only the
-    partitions from that day on are read with all their columns.
-    """
-    newest = summary.select("date").orderBy(F.desc_nulls_last("date")).limit(n)
-    cutoff = newest.agg(F.min("date")).scalar()
-    return (
-        summary.where((F.col("date") >= cutoff) | F.col("date").isNull())
-        .orderBy(F.desc_nulls_last("date"), F.asc_nulls_last("username"))
-        .limit(n)
-    )
+    """The ``n`` rows with the latest days; equal days by username. One pass: every task keeps its ``n`` best."""
+    return summary.orderBy(F.desc_nulls_last("date"), F.asc_nulls_last("username")).limit(n)

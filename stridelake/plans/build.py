@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridelake.functions.columns import sql_name
 from stridelake.operators.marts import counts_of, rollup, summary_of
-from stridelake.schema import ACTIVITY_COUNTS, BATCH_ID, EVENT_MONTH, ROLLUP, SUMMARY, WRIST_COUNTS
-from stridelake.sources.files import write_swapped
+from stridelake.schema import ACTIVITY_COUNTS, BATCH_ID, EVENT_MONTH, ROLLUP, RUN_ID, SUMMARY, WRIST_COUNTS
+from stridelake.sources.files import exists, read_text, write_swapped, write_text
 from stridelake.sources.lake import read_lake
 from stridelake.sources.tables import read_table, write_table
 
@@ -65,6 +66,8 @@ def build_marts(
 
     def write_base(staging: str) -> None:
         write_rollup(roll_up(runs, on_bad_date=on_bad_date), staging)
+        if exists(spark, f"{lake_path}/{RUN_ID}"):
+            write_text(spark, f"{staging}/{RUN_ID}", read_text(spark, f"{lake_path}/{RUN_ID}"))
         stored.update(marts_of(read_table(spark, staging)))
 
     def mart_writer(name: str) -> Callable[[str], None]:
@@ -86,15 +89,15 @@ def publish_marts(spark: SparkSession, mart_dir: str, database: str = "default")
     names = []
     for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS):
         path = f"{mart_dir.rstrip('/')}/{name}"
-        table = f"{database}.{name}"
+        table = f"{sql_name(database)}.{sql_name(name)}"
         schema = read_table(spark, path).schema
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        quoted_path = path.replace("'", "\\'")
+        columns = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in schema)
+        quoted_path = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet "
             f"PARTITIONED BY ({EVENT_MONTH}) LOCATION '{quoted_path}'"
         )
         spark.catalog.recoverPartitions(table)
-        names.append(table)
+        names.append(f"{database}.{name}")
     return names

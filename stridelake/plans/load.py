@@ -8,13 +8,12 @@ import logging
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stridelake.operators.marts import daily_activity_counts, daily_wrist_counts, fallback_summary
-from stridelake.operators.selection import as_day, select_rows
+from stridelake.operators.selection import select_rows
 from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
 from stridelake.sources.lake import read_lake
-from stridelake.sources.tables import read_table
+from stridelake.sources.tables import check_footers, read_table
 
 log = logging.getLogger(__name__)
 
@@ -32,6 +31,7 @@ def load_mart(
     lake_path: str | None = None,
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
+    keep_month: bool = False,
 ) -> DataFrame:
     """A mart if it can be read, else its equivalent from the lake, else no rows.
 
@@ -43,7 +43,10 @@ def load_mart(
         raise KeyError(f"no mart named {name}")
     if mart_dir is not None:
         try:
-            return stored_mart(spark, name, mart_dir, start, end)
+            mart = stored_mart(spark, name, mart_dir, start, end, keep_month)
+            if lake_path is not None:  # there is something to fall back to: unreadable files must show now
+                check_footers(spark, f"{mart_dir.rstrip('/')}/{name}")
+            return mart
         except (OSError, ValueError, PySparkException, Py4JJavaError) as e:
             log.info("mart %s not readable (%s); trying the lake", name, type(e).__name__)
     if lake_path is not None:
@@ -60,15 +63,16 @@ def stored_mart(
     mart_dir: str,
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
+    keep_month: bool = False,
 ) -> DataFrame:
-    """A mart as written; FileNotFoundError if it is not there."""
+    """A mart as written; FileNotFoundError if it is not there.
+
+    ``keep_month`` leaves the partition column, so that ``select_rows`` can still prune by it.
+    """
     mart = read_table(spark, f"{mart_dir.rstrip('/')}/{name}")
-    if EVENT_MONTH in mart.columns:
-        if start is not None:
-            mart = mart.where(F.col(EVENT_MONTH) >= F.trunc(as_day(start), "month"))
-        if end is not None:
-            mart = mart.where(F.col(EVENT_MONTH) <= as_day(end))
-    mart = select_rows(mart, start=start, end=end).drop(EVENT_MONTH)
+    mart = select_rows(mart, start=start, end=end)
+    if not keep_month:
+        mart = mart.drop(EVENT_MONTH)
     missing = {"date", "username"} - set(mart.columns)
     if missing:
         raise ValueError(f"{name} lacks {', '.join(sorted(missing))}")

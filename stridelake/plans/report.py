@@ -16,6 +16,7 @@ from stridelake.operators.figures import (
     user_list,
 )
 from stridelake.operators.selection import by_day_and_user, select_rows
+from stridelake.schema import EVENT_MONTH
 
 CODE_COLUMNS = ("activity", "wrist", "top_activity", "top_wrist")
 
@@ -27,12 +28,13 @@ def report(
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
 ) -> dict[str, DataFrame]:
-    """Plans only; each is run by its own action. Persist ``summary`` to take several.
+    """Plans only; each is run by its own action. Persist both tables to take several, or load them with
+    ``keep_month`` so that each plan reads only the months of the range.
 
     ``users`` and ``bounds`` describe the whole summary, the rest the selection.
     """
-    chosen = select_rows(summary, user, start, end)
-    chosen_counts = select_rows(counts, user, start, end)
+    chosen = select_rows(summary, user, start, end).drop(EVENT_MONTH)
+    chosen_counts = select_rows(counts, user, start, end).drop(EVENT_MONTH)
     return {
         "users": user_list(summary),
         "bounds": date_bounds(summary),

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from stridelake.functions.columns import quoted
 from stridelake.operators.selection import latest
 from stridelake.plans.load import stored_mart
-from stridelake.schema import MART_SCHEMAS
+from stridelake.schema import EVENT_MONTH, MART_SCHEMAS, SUMMARY
+from stridelake.sources.lake import register_runs
+from stridelake.sources.tables import partition_folders, read_partitions
 
 
 def latest_summary(summary: DataFrame, n: int = 100) -> DataFrame:
@@ -20,13 +22,38 @@ def latest_summary(summary: DataFrame, n: int = 100) -> DataFrame:
     return latest(summary, n)
 
 
-def query(spark: SparkSession, sql: str, mart_dir: str) -> DataFrame:
-    """Run one SQL statement with the marts in ``mart_dir`` as views.
+def latest_stored_summary(spark: SparkSession, mart_dir: str, n: int = 100) -> DataFrame:
+    """``latest_summary`` of the stored mart; only its newest months are read, as many as hold ``n`` rows."""
+    path = f"{mart_dir.rstrip('/')}/{SUMMARY}"
+    mart = stored_mart(spark, SUMMARY, mart_dir)
+    months = partition_folders(spark, path, f"{EVENT_MONTH}=*")
+    no_day = [m for m in months if m.endswith(_NO_VALUE)]
+    months = sorted(set(months) - set(no_day), reverse=True) + no_day
+    taken = 1
+    while 0 < taken < len(months):
+        newest = read_partitions(spark, path, months[:taken]).drop(EVENT_MONTH)
+        if newest.limit(n).count() >= n:
+            return latest(newest, n)
+        taken *= 4
+    return latest(mart, n)
 
-    Without any mart there the result is an empty frame without columns; errors in the
+
+_NO_VALUE = "=__HIVE_DEFAULT_PARTITION__"
+
+
+def query(spark: SparkSession, sql: str, mart_dir: str, lake_path: str | None = None) -> DataFrame:
+    """Run one SQL statement with the marts in ``mart_dir``, and the samples of ``lake_path`` as ``runs``, as views.
+
+    Without any of them the result is an empty frame without columns; errors in the
     statement are raised. Rows stay in Spark; see ``rows_as_dicts`` and ``iterate_dicts``.
     """
     found = 0
+    if lake_path is not None:
+        try:
+            register_runs(spark, lake_path)
+            found += 1
+        except FileNotFoundError:
+            spark.catalog.dropTempView("runs")
     for name in MART_SCHEMAS:
         try:
             stored_mart(spark, name, mart_dir).createOrReplaceTempView(name)
@@ -38,9 +65,9 @@ def query(spark: SparkSession, sql: str, mart_dir: str) -> DataFrame:
     return spark.sql(sql)
 
 
-def rows_as_dicts(df: DataFrame, n: int = 100) -> list[dict[str, Any]]:
-    """The first ``n`` rows as dicts keyed by column name."""
-    return [r.asDict() for r in df.take(n)]
+def rows_as_dicts(df: DataFrame, n: int | None = None) -> list[dict[str, Any]]:
+    """All rows, or the first ``n``, as dicts keyed by column name; for results that fit the driver."""
+    return [r.asDict() for r in (df.collect() if n is None else df.take(n))]
 
 
 def iterate_dicts(df: DataFrame) -> Iterator[dict[str, Any]]:

@@ -59,7 +59,7 @@ def read_csv_files(
 def header_groups(
     spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None, folder: str | None = None
 ) -> list[HeaderGroup]:
-    headers = read_headers(spark, paths, folder)
+    headers = read_headers(spark, paths)
     if multi_line is None:
         whole = files_with_open_quotes(spark, paths, folder)
     else:
@@ -91,50 +91,12 @@ def column_names(header: str) -> tuple[str, ...]:
     return tuple(names)
 
 
-def read_headers(spark: SparkSession, paths: Sequence[str], folder: str | None = None) -> dict[str, str]:
-    """First record of each file that has one.
-
-    A few files are opened here, one by one. With many, a scan first finds which have the
-    same first line, and only one file of each kind is opened.
-    """
-    if len(paths) <= OPENED_ONE_BY_ONE:
-        return _open_headers(spark, paths)
-    kinds = _same_first_line(spark, paths, folder)
-    opened = _open_headers(spark, [members[0] for members in kinds])
-    headers: dict[str, str] = {}
-    for members in kinds:
-        header = opened.get(members[0])
-        if header is not None and "\n" in header:  # only its first line is known to be the same
-            headers |= _open_headers(spark, members)
-        elif header is not None:
-            headers |= dict.fromkeys(members, header)
-    return headers
-
-
-OPENED_ONE_BY_ONE = 500
 _HEADER_READERS = 32
 _HEADER_BYTES = 1 << 12
 
 
-def _same_first_line(spark: SparkSession, paths: Sequence[str], folder: str | None) -> list[list[str]]:
-    """Files grouped by first non-blank line.
-
-    The smallest (row number, hash of the line) of a file, packed into one number, gives the
-    hash of its first line by a plain hash aggregate, one row per file and task. Three
-    independent hashes make 90 bits.
-    """
-    first = r"start = 0 AND trim(BOTH ' \t' FROM value) <> ''"
-    packed = "shiftleft(id & 8589934591, 30) | (xxhash64(value, {}) & 1073741823)"
-    keys = [f"min(CASE WHEN {first} THEN {packed.format(k)} END) & 1073741823 AS key_{k}" for k in range(3)]
-    lines = _lines(spark, paths, folder, F.col("_metadata.file_block_start").alias("start"))
-    lines = lines.withColumn("id", F.monotonically_increasing_id())
-    kinds: dict[tuple, list[str]] = {}
-    for path, *key in lines.groupBy("path").agg(*map(F.expr, keys)).collect():
-        kinds.setdefault(tuple(key), []).append(_listed(path))
-    return list(kinds.values())
-
-
-def _open_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+def read_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First record of each file that has one, from the starts of the files; the same way for few and many."""
     read_header = functools.partial(_read_header, start_reader(spark, paths[0]))
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
         found = pool.map(inheritable_thread_target(spark)(read_header), paths)
@@ -180,7 +142,10 @@ def files_with_open_quotes(
     """
     lines = _lines(spark, paths, folder).where(F.contains("value", F.lit('"')))
     open_files = lines.where(_open_quote(F.col("value"))).select("path").distinct()
-    return {_listed(r["path"]) for r in open_files.collect()}
+    found = {_listed(r["path"]) for r in open_files.collect()}
+    if not found <= set(paths):
+        raise ValueError(f"the scan spells paths differently from the listing: {sorted(found - set(paths))[:3]}")
+    return found
 
 
 def _open_quote(line: Column) -> Column:
@@ -197,9 +162,9 @@ def _open_quote(line: Column) -> Column:
     return (count % 2 == 0) | F.array_contains(F.transform(pieces, ill_placed), True)
 
 
-def _lines(spark: SparkSession, paths: Sequence[str], folder: str | None, *more: Column) -> DataFrame:
+def _lines(spark: SparkSession, paths: Sequence[str], folder: str | None) -> DataFrame:
     text = _scan(spark.read.format("text"), paths, folder)
-    return text.select("value", F.col("_metadata.file_path").alias("path"), *more)
+    return text.select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def _scan(reader: DataFrameReader, paths: Sequence[str], folder: str | None) -> DataFrame:
@@ -225,6 +190,7 @@ def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None) ->
         multiLine=group.multi_line,
         mode="PERMISSIVE",
         columnNameOfCorruptRecord=MALFORMED,
+        maxColumns=max(20480, 2 * len(group.columns)),
     )
     rows = _scan(reader, group.paths, folder)
     # Rows with too few fields are padded; rows with too many must not lose any.

@@ -13,6 +13,7 @@ from stridelake.functions.columns import parse_day, sql_name
 from stridelake.functions.inference import infer_types, misfit_sql, typed_sql
 from stridelake.schema import BATCH_ID, EVENT_DATE, SENSOR_TYPES
 from stridelake.sources.csv_folder import TOO_LONG
+from stridelake.sources.files import literal_path
 from stridelake.sources.tables import read_table, write_table
 
 MISFITS = "__misfits__"
@@ -100,16 +101,27 @@ def read_lake(spark: SparkSession, path: str, keep_batch_id: bool = False) -> Da
     """The lake as a lazy, pruned scan, with its ``event_date`` if it has one.
 
     Also reads a Parquet file or folder written by other tools, including one whose
-    ``date`` is a nanosecond timestamp, which Spark reads only as a number.
+    ``date`` is a nanosecond timestamp, which Spark reads only as a number and only with a session
+    setting: that stays on, as the plan needs it when it runs. A ``date`` that the
+    file itself has as a number is refused.
     """
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
     try:
-        runs = read_table(spark, path)
+        runs, nanoseconds = read_table(spark, path), False
     except PySparkException as e:
         if "PARQUET_TYPE_ILLEGAL" not in f"{e.getCondition()} {e}" and "NANOS" not in str(e):
             raise
-        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-        runs = spark.read.parquet(path)
-    if "date" in runs.columns and isinstance(runs.schema["date"].dataType, T.LongType):
+        nanoseconds = True
+    finally:
+        spark.conf.set(setting, before)
+    if nanoseconds:
+        spark.conf.set(setting, "true")
+        runs = spark.read.parquet(literal_path(path))
+    if "date" in runs.columns and isinstance(runs.schema["date"].dataType, T.IntegralType):
+        if not nanoseconds:
+            raise ValueError(f"column date of {path} is a number, not a date")
         epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
         runs = runs.withColumn("date", F.expr(f"timestampadd(MICROSECOND, date div 1000, {epoch})"))
     return runs if keep_batch_id else runs.drop(BATCH_ID)

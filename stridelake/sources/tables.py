@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,15 +94,17 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Scan a table; columns come in stored order. A missing path raises FileNotFoundError."""
+    if not files.exists(spark, path):
+        raise FileNotFoundError(f"no table at {path}")
     schema = table_schema(spark, path)
-    try:
-        if schema is None:
-            return spark.read.parquet(path)
-        return spark.read.schema(schema).parquet(path).select(*_columns(schema))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no table at {path}") from e
-        raise
+    if schema is None:
+        return spark.read.parquet(files.literal_path(path))
+    return spark.read.schema(schema).parquet(files.literal_path(path)).select(*_columns(schema))
+
+
+def check_footers(spark: SparkSession, path: str) -> None:
+    """Reads the footer of every file, as a Spark job; raises if one is not Parquet."""
+    spark.read.option("mergeSchema", "true").parquet(files.literal_path(path))
 
 
 def read_partitions(spark: SparkSession, path: str, folders: Iterable[str]) -> DataFrame:

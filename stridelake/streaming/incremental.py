@@ -10,22 +10,29 @@ ends in the same tables as a full rebuild would:
 
 Every step replaces whole partitions, so a batch that is run again after a failure
 leaves the same result.
+
+Lake and roll-up carry the checkpoint's id, and the checkpoint a note once both hold rows. A run whose
+lake, roll-up and checkpoint do not belong together is refused before anything is written.
+Columns that are not declared stay text, so that no later file can fail to fit them.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stridelake.plans.build import marts_of, roll_up, write_mart, write_rollup
-from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, ROLLUP
-from stridelake.sources.csv_folder import read_csv_files
-from stridelake.sources.files import exists, list_csv_files, side_by_side
-from stridelake.sources.lake import column_types, write_lake
+from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, ROLLUP, RUN_ID, SENSOR_TYPES
+from stridelake.sources.csv_folder import TOO_LONG, read_csv_files
+from stridelake.sources.files import exists, list_csv_files, literal_path, read_text, side_by_side, write_text
+from stridelake.sources.lake import write_lake
 from stridelake.sources.tables import partition_folders, read_partitions, table_schema
 
+_ANY_AGE = "36500d"
+_FILLED = "lake-and-rollup-hold-rows"
 _FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -42,12 +49,12 @@ def run_incremental(
 ) -> int:
     """Take in the CSV files that came since the last run; returns their number of rows.
 
-    The lake must have been made by this function with the same checkpoint.
+    The lake must have been made by this function with the same checkpoint. A file is new if the
+    checkpoint does not know its path, however old the file is.
     """
     if not list_csv_files(spark, raw_dir):
         return 0
-    if exists(spark, lake_path) and not exists(spark, checkpoint):
-        raise ValueError(f"{lake_path} exists but {checkpoint} does not: its files would be read twice")
+    _refuse_strangers(spark, lake_path, mart_dir, checkpoint)
     counted: dict[int, int] = {}
 
     def take_in(files: DataFrame, batch_id: int) -> None:
@@ -55,15 +62,18 @@ def run_incremental(
         paths = sorted({r["path"] for r in files.select("path").collect()})
         if paths:
             counted[batch_id] = add_files(
-                spark, paths, batch_id, lake_path, mart_dir, multi_line, on_bad_date
+                spark, paths, batch_id, lake_path, mart_dir, multi_line, on_bad_date, _checkpoint_id(spark, checkpoint)
             )
+            if counted[batch_id] and not exists(spark, f"{checkpoint}/{_FILLED}"):
+                write_text(spark, f"{checkpoint}/{_FILLED}", "")
 
     # The content column is not selected, so no file is read to be discovered.
     reader = spark.readStream.format("binaryFile").schema(_FILE_COLUMNS).option("pathGlobFilter", "*.csv")
+    reader = reader.option("maxFileAge", _ANY_AGE)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     stream = (
-        reader.load(raw_dir)
+        reader.load(literal_path(raw_dir))
         .select("path")
         .writeStream.foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
@@ -82,19 +92,28 @@ def add_files(
     mart_dir: str,
     multi_line: bool | None = None,
     on_bad_date: str = "error",
+    run_id: str | None = None,
 ) -> int:
-    """One batch: lake, roll-up, then the marts of the touched months."""
+    """One batch: lake, roll-up, then the marts of the touched months.
+
+    ``run_id``, the checkpoint's id, is left in lake and roll-up.
+    """
     raw = read_csv_files(spark, paths, multi_line)
+    types = _lake_types(spark, lake_path)
+    if run_id is not None:
+        write_text(spark, f"{lake_path}/{RUN_ID}", run_id)
     rows = write_lake(
         raw,
         lake_path,
-        column_types(raw, _lake_types(spark, lake_path), when_empty=None),
+        {n: types.get(n) or SENSOR_TYPES.get(n, "string") for n in raw.columns if n != TOO_LONG},
         batch_id=batch_id,
         on_bad_date=on_bad_date,
     )
     if not rows:
         return 0
     rollup_path = f"{mart_dir.rstrip('/')}/{ROLLUP}"
+    if run_id is not None:
+        write_text(spark, f"{rollup_path}/{RUN_ID}", run_id)
     new_rows = read_partitions(spark, lake_path, [f"{EVENT_DATE}=*/{BATCH_ID}={batch_id}"])
     write_rollup(roll_up(new_rows, batch_id, on_bad_date), rollup_path, dynamic=True)
 
@@ -111,6 +130,27 @@ def add_files(
     return rows
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that the stream gave its checkpoint when it first ran."""
+    path = f"{checkpoint}/metadata"
+    return json.loads(read_text(spark, path))["id"] if exists(spark, path) else None
+
+
+def _refuse_strangers(spark: SparkSession, lake_path: str, mart_dir: str, checkpoint: str) -> None:
+    own = _checkpoint_id(spark, checkpoint)
+    filled = exists(spark, f"{checkpoint}/{_FILLED}")
+    for path in (lake_path, f"{mart_dir.rstrip('/')}/{ROLLUP}"):
+        there = exists(spark, path)
+        if there and own is None and path == lake_path:
+            raise ValueError(f"{path} exists but {checkpoint} does not: its files would be read twice")
+        made_by = read_text(spark, f"{path}/{RUN_ID}") if exists(spark, f"{path}/{RUN_ID}") else None
+        if filled and made_by is None:
+            what = "was not made by this run" if there else "is gone"
+            raise ValueError(f"{path} {what}, but {checkpoint} counts its files as taken in: start anew with all three")
+        if there and made_by != own:
+            raise ValueError(f"{path} was not made with the checkpoint {checkpoint}")
+
+
 def _lake_types(spark: SparkSession, lake_path: str) -> Mapping[str, str]:
     schema = table_schema(spark, lake_path) or []
     return {f.name: f.dataType.simpleString() for f in schema if f.name not in (EVENT_DATE, BATCH_ID)}

@@ -5,6 +5,7 @@ import pytest
 from stridelake import run_incremental
 from stridelake.operators import marts
 from stridelake.plans.build import build_marts
+from stridelake.plans.ingest import ingest
 from stridelake.plans.load import stored_mart
 from stridelake.schema import ACTIVITY_COUNTS, ROLLUP, SUMMARY, WRIST_COUNTS
 from stridelake.sources.lake import read_lake
@@ -134,7 +135,55 @@ def test_refusals(spark, run, at):
         run_incremental(spark, run.raw, run.lake, run.marts, at("other-checkpoint"))
 
 
-def test_column_that_changes_type_is_refused(spark, run):
+def test_old_files_and_odd_folders(spark, run, at, tmp_path):
+    run.raw = at("raw[1]")
+    os.mkdir(run.raw)
+
+    def add(name, text, age):
+        path = tmp_path / "raw[1]" / name
+        path.write_text(f"{HEADER}\n{text}\n")
+        os.utime(path, (path.stat().st_mtime - age * 86_400,) * 2)
+
+    add("a.csv", sample("2024-1-30", "u", 0, 1, 3.0), 0)
+    assert run.go() == 1
+    add("b.csv", sample("2024-1-30", "u", 1, 1, 4.0), 400)
+    assert run.go() == 1
+    run.assert_like_a_rebuild()
+    assert read_lake(spark, run.lake).count() == 2
+
+
+def test_tables_that_do_not_belong_together_are_refused(spark, run, at, tmp_path):
+    run.add("a.csv", sample("2024-1-30", "u", 0, 1, 3.0))
+    run.go()
+    run.add("b.csv", sample("2024-1-30", "u", 1, 1, 4.0))
+    before = run.everything()
+    marts_dir, lake = run.marts, run.lake
+    run.marts = at("other-marts")
+    with pytest.raises(ValueError, match="is gone"):
+        run.go()
+    run.marts, run.lake = marts_dir, at("other-lake")
+    with pytest.raises(ValueError, match="is gone"):
+        run.go()
+    run.lake = lake
+    assert run.everything() == before
+    assert run.go() == 1
+    run.assert_like_a_rebuild()
+    ingest(spark, run.raw, run.lake)
+    run.add("c.csv", sample("2024-1-30", "u", 1, 1, 4.0))
+    with pytest.raises(ValueError, match="was not made by this run"):
+        run.go()
+    assert read_lake(spark, run.lake).count() == 2
+
+
+def test_undeclared_columns_take_whatever_comes(spark, run):
+    for i, value in enumerate(("5", "5.5", "five")):
+        run.add(f"{i}.csv", f'{sample("2024-1-30", "u", 0, 1, 3.0)},{value}', header=f"{HEADER},steps")
+        assert run.go() == 1
+    assert sorted(r.steps for r in read_lake(spark, run.lake).collect()) == ["5", "5.5", "five"]
+    run.assert_like_a_rebuild()
+
+
+def test_files_without_sensor_columns(spark, run):
     run.add("a.csv", "2024-1-1,u,5", header="date,username,steps")
     # lacks sensor columns: the lake takes it, the marts cannot be built
     with pytest.raises(Exception, match="activity|UNRESOLVED"):

@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 
 from stridelake.plans.ingest import ingest
-from stridelake.sources import csv_folder
 from stridelake.sources.csv_folder import (
     column_names,
     files_with_open_quotes,
@@ -185,7 +184,7 @@ def test_first_record():
     assert first_record(" \n\n", whole=True) is None
 
 
-def test_headers_of_many_files(spark, folder, monkeypatch):
+def test_headers_of_many_files(spark, folder):
     texts = {
         "a": "x,y\n1,2\n",
         "b": "\n \t\nx,y\n3,4\n",
@@ -198,8 +197,6 @@ def test_headers_of_many_files(spark, folder, monkeypatch):
     raw = folder(**{f"{name}__csv": text for name, text in texts.items()})
     paths = paths_in(spark, raw)
     opened = read_headers(spark, paths)
-    monkeypatch.setattr(csv_folder, "OPENED_ONE_BY_ONE", 0)
-    assert read_headers(spark, paths) == opened
     assert [opened[p] for p in paths] == ["x,y", "x,y", "x,y", "y,x", '"x\none",y', '"x\ntwo",y', "x,y"]
 
 
@@ -365,3 +362,34 @@ def test_splittable_read_of_one_large_file(spark, tmp_path):
         assert rows.count() == 300_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("n", [2, 620])
+def test_few_and_many_files_are_read_alike(spark, folder, at, n):
+    texts = {f"f{i}__csv": ("\x0c\nx,y\n1,2\n" if i % 2 else "\x0c\ny,x\n10,20\n") for i in range(n)}
+    assert ingest(spark, folder(**texts), at("lake")) == n
+    counts = {(r.x, r.y): r["count"] for r in read_lake(spark, at("lake")).groupBy("x", "y").count().collect()}
+    assert counts == {(1, 2): n // 2, (20, 10): n // 2}
+
+
+def test_glob_characters_in_folder_names(spark, tmp_path, at):
+    raw = tmp_path / "raw[1]"
+    raw.mkdir()
+    (raw / "a.csv").write_text("x,y\n1,2\n")
+    assert ingest(spark, str(raw), at("lake{1}")) == 1
+    assert read_lake(spark, at("lake{1}")).count() == 1
+
+
+@pytest.mark.parametrize("text", ["2017-6", "2017", "2017/6", "2017-6/30", "6/30/2017x", "20170630"])
+def test_half_dates_are_not_dates(spark, folder, at, text):
+    raw = folder(a__csv=f"date,x\n{text},1\n")
+    with pytest.raises(Exception, match="unreadable date"):
+        ingest(spark, raw, at("lake"))
+    ingest(spark, raw, at("lake"), on_bad_date="null")
+    assert [r.event_date for r in read_lake(spark, at("lake")).collect()] == [None]
+
+
+@pytest.mark.parametrize("text", ["2017/6/30", "2017-6-30", "2017-06-30", " 2017/06/30", "2017-06-30 12:00:00"])
+def test_dates(spark, folder, at, text):
+    ingest(spark, folder(a__csv=f"date,x\n{text},1\n"), at("lake"))
+    assert [str(r.event_date) for r in read_lake(spark, at("lake")).collect()] == ["2017-06-30"]

@@ -184,6 +184,22 @@ def test_unreadable_mart_falls_back(spark, at, tmp_path):
     assert load_summary(spark, at("marts"), at("lake")).count() == 3
 
 
+def test_mart_with_a_broken_file_falls_back(spark, at, tmp_path):
+    sample_runs(spark).write.parquet(at("lake"))
+    build_marts(spark, at("lake"), at("marts"))
+    assert (tmp_path / "marts" / SUMMARY / "_columns.json").exists()
+    for path in (tmp_path / "marts" / SUMMARY).rglob("*.parquet"):
+        (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+        path.write_text("not parquet")
+    assert load_summary(spark, at("marts"), at("lake")).count() == 3
+
+
+def test_numbers_are_not_dates(spark, at):
+    spark.range(3).selectExpr("20170630L AS date", "'u' AS username").write.parquet(at("numbers"))
+    with pytest.raises(ValueError, match="is a number"):
+        read_lake(spark, at("numbers"))
+
+
 def test_empty_lake(spark, at):
     sample_runs(spark).limit(0).write.parquet(at("lake"))
     build_marts(spark, at("lake"), at("marts"))

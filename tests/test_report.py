@@ -11,8 +11,8 @@ from stridelake.__main__ import main
 from stridelake.operators import figures, marts
 from stridelake.operators.selection import by_day_and_user, by_day_user_and_count, select_rows
 from stridelake.plans.build import build_marts
-from stridelake.plans.load import load_summary
-from stridelake.plans.serve import iterate_dicts, json_rows, write_json
+from stridelake.plans.load import load_activity_counts, load_summary
+from stridelake.plans.serve import iterate_dicts, latest_stored_summary, json_rows, write_json
 from stridelake.schema import ACTIVITY_COUNTS, MART_SCHEMAS, SUMMARY
 from stridelake.sources.sample import generated_runs, sample_runs
 
@@ -138,16 +138,43 @@ def test_latest_of_few_rows_and_missing_dates(spark):
     assert latest_summary(few.limit(0)).isEmpty()
 
 
-def test_latest_pushes_its_cutoff_into_the_scan(spark, at):
+def test_latest_of_stored_marts_reads_the_newest_months(spark, at):
     generated_runs(spark, 4_000, users=8, days=400).write.parquet(at("lake"))
     build_marts(spark, at("lake"), at("marts"))
     summary = load_summary(spark, at("marts"))
-    latest = latest_summary(summary)
-    want = sorted(rows(summary.select("date", "username")), key=lambda r: (-r[0].toordinal(), r[1]))[:100]
-    assert rows(latest.select("date", "username")) == want
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
-    assert "PushedFilters: [Or(GreaterThanOrEqual(date,ScalarSubquery" in plan
+    want = sorted(rows(summary.select("date", "username")), key=lambda r: (-r[0].toordinal(), r[1]))
+    for n in (1, 100, 2_000, 10_000):
+        latest = latest_stored_summary(spark, at("marts"), n)
+        assert latest.columns == summary.columns and rows(latest.select("date", "username")) == want[:n]
+    latest = latest_stored_summary(spark, at("marts"))
+    months = {f.split("event_month=")[1][:7] for f in latest.inputFiles()}
+    assert len(months) < 5 and max(months) == max(f.split("event_month=")[1][:7] for f in summary.inputFiles())
+    plan = latest_summary(summary)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and plan.count("FileScan") == 1
+
+
+def test_report_prunes_months(spark, at):
+    generated_runs(spark, 2_000, users=4, days=200).write.parquet(at("lake"))
+    build_marts(spark, at("lake"), at("marts"))
+    summary = load_summary(spark, at("marts"), keep_month=True)
+    counts = load_activity_counts(spark, at("marts"), keep_month=True)
+    found = report(summary, counts, start="2017-08-20", end="2017-09-03")
+    plain = report(load_summary(spark, at("marts")), load_activity_counts(spark, at("marts")), start="2017-08-20", end="2017-09-03")
+    for name in ("figures", "series", "daily_total", "distribution", "share", "table"):
+        assert found[name].columns == plain[name].columns and sorted(rows(found[name]), key=str) == sorted(rows(plain[name]), key=str)
+        plan = found[name]._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(event_month" in plan, name
+
+
+def test_query_over_runs_and_whole_results(spark, at):
+    generated_runs(spark, 2_000, users=4, days=200).write.parquet(at("lake[1]"))
+    build_marts(spark, at("lake[1]"), at("marts[1]"))
+    runs = query(spark, "SELECT count(*) AS n FROM runs", at("marts[1]"), at("lake[1]"))
+    assert rows_as_dicts(runs) == [{"n": 2_000}]
+    everything = query(spark, "SELECT * FROM daily_user_summary", at("marts[1]"))
+    assert len(rows_as_dicts(everything)) == everything.count() > 100
+    assert len(rows_as_dicts(everything, 7)) == 7
+    assert rows_as_dicts(query(spark, "SELECT count(*) AS n FROM runs", at("none"), at("lake[1]"))) == [{"n": 2_000}]
 
 
 def test_query(spark, at):
