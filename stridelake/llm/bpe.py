@@ -22,10 +22,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.shared import free_name, table
+from stridelake.llm.shared import bounded, free_name, slices, table
 
 KNOWN_WORDS = 200_000
-_AT_ONCE = 256
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -163,13 +162,6 @@ class Bpe:
         return " ".join(self.tokens[ids].tolist())
 
 
-def _slices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Few rows at a time, so that results of a large batch don't pile up."""
-    for batch in batches:
-        for at in range(0, len(batch), _AT_ONCE):
-            yield batch.iloc[at : at + _AT_ONCE]
-
-
 def encode(text: Column, path: str | None = None) -> Column:
     """Token ids of whole texts; null and empty texts, and texts without a word, give an empty array."""
     path = path or default_path()
@@ -177,7 +169,7 @@ def encode(text: Column, path: str | None = None) -> Column:
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = Bpe(path)
-        for texts in _slices(batches):
+        for texts in slices(batches):
             yield pd.Series(bpe.encode([t or "" for t in texts]), dtype=object)
 
     return of_batches(text)
@@ -190,7 +182,7 @@ def decode(ids: Column, path: str | None = None) -> Column:
     @F.pandas_udf(T.StringType())
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = Bpe(path)
-        for arrays in _slices(batches):
+        for arrays in slices(batches):
             yield pd.Series(["" if a is None else bpe.decode(a) for a in arrays], dtype=object)
 
     return of_batches(ids)
@@ -203,7 +195,7 @@ def round_trip(text: Column, path: str | None = None) -> Column:
     @F.pandas_udf("ids array<int>, decoded string")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = Bpe(path)
-        for texts in _slices(batches):
+        for texts in slices(batches):
             ids = bpe.encode([t or "" for t in texts])
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([bpe.decode(i) for i in ids], dtype=object)})
 
@@ -215,6 +207,7 @@ def encoded(docs, path: str | None = None):
 
     Every row gives one row, repeated ones too; null and empty texts have no ids and decode to the empty text.
     """
+    docs = bounded(docs)
     both = free_name(docs, "coded")
     coded = docs.withColumn(both, round_trip(F.col("text"), path))
     return coded.withColumns({n: F.col(both)[n] for n in ("ids", "decoded")}).drop(both)

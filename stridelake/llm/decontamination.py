@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.shared import free_name, saved, table
+from stridelake.llm.shared import bounded, free_name, saved, slices, table
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -139,9 +139,8 @@ def _find(text: Column, searcher) -> Column:
     @F.pandas_udf(FOUND)
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         search = cloudpickle.loads(searcher.value).search
-        for texts in batches:
-            rows = [r for at in range(0, len(texts), 256) for r in search(texts.iloc[at : at + 256].tolist())]
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "item_ids", "spans"])
+        for texts in slices(batches):
+            yield pd.DataFrame(search(texts.tolist()), columns=["n_words", "n_hit", "item_ids", "spans"])
 
     return of_batches(text)
 
@@ -178,7 +177,7 @@ def found_in(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     The benchmark is a stated query set: it is searched in blocks of about ``block_bytes``, each sent to
     the executors on its own, so that no task holds more than a block whatever the benchmark's size.
     """
-    spark = docs.sparkSession
+    spark = bounded(docs).sparkSession
     items = benchmark.select("item_id", "text").where(F.length("text") > 0)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1

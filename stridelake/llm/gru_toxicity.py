@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.shared import labelled_rows, received, remainder, sent, table
+from stridelake.llm.shared import bounded, labelled_rows, received, remainder, sent, slices, table
 
 MOST = 2000
 THRESHOLD = 0.5
@@ -342,9 +342,8 @@ def toxicity(text: Column, broadcast) -> Column:
     @F.pandas_udf("double")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = received(broadcast)
-        for texts in batches:
-            for at in range(0, len(texts), 128):
-                yield pd.Series(model.score(texts.iloc[at : at + 128].tolist()))
+        for texts in slices(batches):
+            yield pd.Series(model.score(texts.tolist()))
 
     return of_batches(text)
 
@@ -352,6 +351,7 @@ def toxicity(text: Column, broadcast) -> Column:
 def scored(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
     """``docs`` with ``score`` (replaced if there). Every row has its score, repeated rows and null ids too; rows
     with equal texts score alike. Without labels of both kinds every text with words scores their share."""
+    docs = bounded(docs)
     return docs.withColumn("score", toxicity(F.col("text"), sent(docs.sparkSession, fitted(docs, labels, most))))
 
 

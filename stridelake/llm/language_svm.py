@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.shared import learnt_rows, received, remainder, sent, table
+from stridelake.llm.shared import bounded, learnt_rows, received, remainder, sent, slices, table
 
 MOST = 1000
 SIZE = 4096
@@ -150,10 +150,9 @@ def language(text: Column, broadcast) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = received(broadcast)
-        for texts in batches:
-            for at in range(0, len(texts), 256):
-                names, scores = model.predict(texts.iloc[at : at + 256].tolist())
-                yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": scores})
+        for texts in slices(batches):
+            names, scores = model.predict(texts.tolist())
+            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": scores})
 
     return of_batches(text)
 
@@ -161,7 +160,7 @@ def language(text: Column, broadcast) -> Column:
 def op3_language_svm(spark, sf_dir):
     """One row per document, repeated rows and null ids too; rows with equal texts are answered alike. Without
     any row to learn from every document is ``und``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = bounded(table(spark, sf_dir, "documents"))
     model = sent(spark, fitted(docs))
     found = docs.select("doc_id", (~learnt_from()).alias("held_out"), language(F.col("text"), model).alias("found"))
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.shared import free_name, received, remainder, saved, sent, table
+from stridelake.llm.shared import bounded, free_name, received, remainder, saved, sent, slices, table
 
 MOST = 2000
 DICTIONARY = 20_000
@@ -116,7 +116,7 @@ def corpus(docs: DataFrame, dictionary: int = DICTIONARY) -> Corpus:
     that many, so that the driver gets the words alone and not the best of every task.
     """
     counts = saved(
-        docs.select("text").mapInPandas(_count_part, "word string, pair long, n long").groupBy("word", "pair").agg(F.sum("n").alias("n")),
+        bounded(docs).select("text").mapInPandas(_count_part, "word string, pair long, n long").groupBy("word", "pair").agg(F.sum("n").alias("n")),
         "secrets-counts",
     )
     pairs = np.zeros(_CLASSES * _CLASSES)
@@ -253,7 +253,7 @@ def findings(docs: DataFrame) -> DataFrame:
             rows = [context(t, a, b) for t in batch["text"] if t for a, b in candidates(t)]
             yield pd.DataFrame(rows, columns=["before", "candidate", "after"], dtype=object)
 
-    return docs.select("text").mapInPandas(of_part, "before string, candidate string, after string")
+    return bounded(docs).select("text").mapInPandas(of_part, "before string, candidate string, after string")
 
 
 def labelled_by_rule(docs: DataFrame) -> DataFrame:
@@ -295,18 +295,16 @@ def scanned(text: Column, broadcast, threshold: float = THRESHOLD) -> Column:
     @F.pandas_udf("n_candidates long, secrets array<struct<start:int,end:int,score:double>>, redacted string")
     def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scanner = received(broadcast)
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                texts = batch.iloc[at : at + 256].tolist()
-                rows = []
-                for text, found in zip(texts, scanner.scan(texts)):
-                    secrets = [{"start": a, "end": b, "score": s} for a, b, s in found if s >= threshold]
-                    shown, last = [], 0
-                    for s in secrets:
-                        shown += [text[last : s["start"]], MASK]
-                        last = s["end"]
-                    rows.append((len(found), secrets, text if not secrets else "".join([*shown, text[last:]])))
-                yield pd.DataFrame(rows, columns=["n_candidates", "secrets", "redacted"], dtype=object)
+        for batch in slices(batches):
+            texts, rows = batch.tolist(), []
+            for text, found in zip(texts, scanner.scan(texts)):
+                secrets = [{"start": a, "end": b, "score": s} for a, b, s in found if s >= threshold]
+                shown, last = [], 0
+                for s in secrets:
+                    shown += [text[last : s["start"]], MASK]
+                    last = s["end"]
+                rows.append((len(found), secrets, text if not secrets else "".join([*shown, text[last:]])))
+            yield pd.DataFrame(rows, columns=["n_candidates", "secrets", "redacted"], dtype=object)
 
     return of_batches(text)
 
@@ -314,13 +312,13 @@ def scanned(text: Column, broadcast, threshold: float = THRESHOLD) -> Column:
 def with_secrets(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """``docs`` with the column ``scan`` (replaced if there). Every row has its result, repeated rows and null ids too;
     a scanner without training rows calls nothing a secret."""
-    return docs.withColumn("scan", scanned(F.col("text"), sent(docs.sparkSession, scanner)))
+    return bounded(docs).withColumn("scan", scanned(F.col("text"), sent(docs.sparkSession, scanner)))
 
 
 def redacted(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """``docs`` with every secret in ``text`` masked; all rows and columns stay."""
     scan = free_name(docs, "scan")
-    found = docs.withColumn(scan, scanned(F.col("text"), sent(docs.sparkSession, scanner)))
+    found = bounded(docs).withColumn(scan, scanned(F.col("text"), sent(docs.sparkSession, scanner)))
     return found.withColumn("text", F.col(scan)["redacted"]).select(*docs.columns)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,34 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+_CHARACTERS = 1 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The same rows; batches sent to Python are from now on bounded by bytes in this session, and not by rows alone,
+    so that long texts don't fill the workers. A bound that is set already and smaller stays."""
+    conf, setting = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    in_bytes = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if in_bytes(conf.get(setting)) > BATCH_BYTES:
+        conf.set(setting, str(BATCH_BYTES))
+    return df
+
+
+def slices(batches: Iterator[pd.Series], rows: int = 256, characters: int = _CHARACTERS) -> Iterator[pd.Series]:
+    """Runs of texts (or arrays) of bounded total length; one that is longer comes alone."""
+    for batch in batches:
+        start = total = 0
+        sizes = [0 if t is None else len(t) for t in batch]
+        for at, size in enumerate(sizes):
+            if at > start and (total + size > characters or at - start == rows):
+                yield batch.iloc[start:at]
+                start, total = at, 0
+            total += size
+        if start < len(batch):
+            yield batch.iloc[start:]
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that the table does not have (names are compared without case)."""
     taken = {c.lower() for c in df.columns}
