@@ -166,8 +166,10 @@ def _merged(spans: Column) -> Column:
     )
 
 
-def found_in(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a column ``found`` (replaced if there): struct of n_words, n_hit, item_ids, spans.
+def found_in(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, into: str = "found"
+) -> DataFrame:
+    """``docs`` with a column ``into`` (replaced if there): struct of n_words, n_hit, item_ids, spans.
 
     ``spans`` are the hit words as ranges of word positions, ``item_ids`` the items with a window in the
     text, as text and in order. Null and empty texts have no words. Items without words are found nowhere;
@@ -185,9 +187,9 @@ def found_in(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     out, seen = docs, None
     for k in range(blocks):
         rows = [(r["item_id"], r["text"]) for r in items.where(part == k).collect()]
-        name = free_name(out, "found" if blocks == 1 else f"found_{k}")
+        name = free_name(out, f"{into}_{k}")
         if blocks == 1:
-            return docs.withColumn("found", _find(F.col("text"), _sent(spark, rows, window)))
+            return docs.withColumn(into, _find(F.col("text"), _sent(spark, rows, window)))
         out = out.withColumn(name, _find(F.col("text"), _sent(spark, rows, window)))
         new = F.col(name)
         if seen is not None:
@@ -202,7 +204,7 @@ def found_in(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
         out = out.withColumn(name, new)
         out = saved(out.drop(seen) if seen is not None else out, "decontamination-block")
         seen = name
-    return out.withColumn("found", F.col(seen)).drop(*([seen] if seen.lower() != "found" else []))
+    return out.withColumn(into, F.col(seen)).drop(seen)
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -90,7 +90,8 @@ def learnt_rows(docs: DataFrame, most: int) -> tuple[list[tuple], dict]:
     """
     usable = docs.where(F.col("text").isNotNull() & F.col("target").isNotNull() & (F.octet_length("text") <= LONGEST_TO_LEARN))
     counts = _counts(usable)
-    rows = usable.where(_thresholds("target", counts, most, "doc_id")).select("text", "target").collect()
+    chosen = usable.where(_thresholds("target", counts, most, "doc_id")).select("text", "target")
+    rows = chosen.dropDuplicates().collect()  # a row that is repeated without end is learnt from once
     return sorted((r["text"], r["target"]) for r in rows), counts
 
 
@@ -109,7 +110,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     chosen = marks.where(_thresholds("target", counts, most, "doc_id"))  # bounded by most: may be broadcast
     met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     met = met.where(F.col("text").isNotNull() & (F.octet_length("text") <= LONGEST_TO_LEARN))
-    return sorted((r["text"], r["target"]) for r in met.select("text", "target").collect()), counts
+    return sorted((r["text"], r["target"]) for r in met.select("text", "target").dropDuplicates().collect()), counts
 
 
 def sent(spark: SparkSession, model):
