@@ -90,7 +90,11 @@ def _cuts(points: DataFrame, active: list[Node], node: Column) -> None:
         asked = [(i, active[i].dimension, low[i], (high[i] - low[i]) // BUCKETS + 1, high[i]) for i in open_]
         bounds = points.sparkSession.createDataFrame(asked, "node int, dimension int, s long, w long, e long")
         key = F.coalesce(*(F.when(F.col("dimension") == int(d[1:]), F.col(d)) for d in dims))
-        inside = wide.join(F.broadcast(bounds), "node").withColumn("key", key).where("key BETWEEN s AND e")
+        if len(active) == 1:  # the root: nothing to look up
+            inside = wide.withColumns(dict(zip(("dimension", "s", "w", "e"), map(F.lit, asked[0][1:]))))
+        else:
+            inside = wide.join(F.broadcast(bounds), "node")
+        inside = inside.withColumn("key", key).where("key BETWEEN s AND e")
         inside = inside.select("node", "bytes", "key", F.expr("(key - s) div w").alias("bucket"))
         rows = (
             inside.groupBy("node", "bucket")
