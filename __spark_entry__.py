@@ -227,7 +227,7 @@ def _empty_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _mart_catalog(spark, sf_dir)
-    return spark.sql("SHOW TABLES IN stridelake_marts").select(F.col("tableName").alias("table_name"))
+    return spark.sql("SHOW TABLES IN stridelake_marts").where("NOT isTemporary").select(F.col("tableName").alias("table_name"))
 
 
 def _missing_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
