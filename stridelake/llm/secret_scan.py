@@ -1,10 +1,10 @@
 """Secret scan: candidates by grammar, false positives removed by a random forest.
 
 Candidates are runs of at least sixteen token characters with a digit or mixed case, values assigned to a
-name that speaks of secrets, and private key blocks. The forest looks at the candidate's length and
-characters, how usual its character transitions are, how much of it dictionary words cover, marks of
-paths, and the words beside it. Transitions and dictionary are counted over all documents; the forest
-is trained on labelled findings, a bounded sample of them.
+name that speaks of secrets, tokens in the form of a known issuer, and private key blocks. The forest looks at
+the candidate's length and characters, how usual its character transitions are, how much of it dictionary words
+cover, marks of paths and issuers, and the words beside it. Transitions and dictionary are counted over all
+documents; the forest is trained on labelled findings, a bounded sample of them, and not on doubtful ones.
 """
 
 from __future__ import annotations
@@ -29,14 +29,30 @@ MASK = "[SECRET]"
 NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "access_key", "private_key",
          "auth", "credential", "credentials", "bearer")
 _NAMED = "(?:" + "|".join(sorted(map(re.escape, NAMES), key=len, reverse=True)) + ")"
+#: Tokens that issuers mark by a prefix or a form of their own.
+_ISSUED = (
+    r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}"
+    r"|glpat-[A-Za-z0-9_-]{20,}|sk-[A-Za-z0-9_-]{20,}|[rs]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abeoprs]-[A-Za-z0-9-]{10,}"
+    r"|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}|hf_[A-Za-z0-9]{30,}|SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}"
+    r"|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"
+)
 _CANDIDATE = re.compile(
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"|(?P<issued>{_ISSUED})"
     rf"|(?i:(?<![A-Za-z]){_NAMED}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?)(?P<value>[^\s\"']{{8,}})"
     r"|(?P<run>[A-Za-z0-9+/_=-]{16,})",
     re.DOTALL,
 )
 _ASSIGNED = re.compile(rf"(?i)(?<![A-Za-z]){_NAMED}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?$")
-_RANDOM = re.compile(r"(?=.*\d)(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{20,}$")
+_IS_ISSUED = re.compile(_ISSUED)
+_NUMBER = re.compile(r"[\d+/_=-]+$")
+_HEX = re.compile(r"[0-9a-fA-F]{16,}$")
+_HASH_NAME = re.compile(r"(?i)(?<![a-z])(?:commit|revision|rev|merge|tree|parent|checksum|digest|hash|sha-?\d*|md5)[\"']?[ \t:=(]{1,3}[\"'(]?$")
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s?@\"'<>]*$")
+_PATH = re.compile(r"(?:[A-Za-z]:|~|\.{1,2})?(?:[/\\][a-z._-]+\d{0,4}){2,}[/\\]?$")
+_EMPTY = re.compile(r"<[^<>]*>$|\$\{|\{\{|%[({]|(.)\1*$")
+_CODE = re.compile(r"[A-Za-z_]\w*(?:\.\w+)*[(\[]")
+_PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CLASSES = 40
 
@@ -72,12 +88,36 @@ def context(text: str, start: int, end: int) -> tuple[str, str, str]:
     return text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT]
 
 
-def rule(before: str, candidate: str, after: str) -> int:
-    """The label of a finding where nobody has given one: a value that mixes digits and letters and is assigned to
-    a secret's name, or a private key."""
-    if candidate.startswith("-----BEGIN"):
+def _of_words(candidate: str, words: set[str] | frozenset[str]) -> bool:
+    """Dictionary words, joined by case, marks or short numbers."""
+    pieces = _PIECES.findall(candidate)
+    letters = [p.lower() for p in pieces if p.isalpha()]
+    known = sum(len(p) for p in letters if p in words)
+    return bool(letters) and known == sum(map(len, letters)) and 2 * known > len(candidate)
+
+
+def rule(before: str, candidate: str, after: str, words: set[str] | frozenset[str] = frozenset()) -> int | None:
+    """The label of a finding where nobody has given one; None where the text leaves it open.
+
+    1: a private key, a token of a known issuer, a value assigned to a secret's name. 0: what is clearly something
+    else (address, path, placeholder, plain number, hash that is called so, words of the dictionary ``words``).
+    """
+    if candidate.startswith("-----BEGIN") or _IS_ISSUED.search(candidate):
+        return 1
+    if _ASSIGNED.search(before):
+        if _EMPTY.match(candidate) or _URL.match(candidate) or _PATH.match(candidate):
+            return 0
+        quoted = before[-1:] in ("'", '"')
+        plain = candidate.rstrip(".,;:!?)")
+        if not quoted and (_CODE.match(candidate) or (plain.isalpha() and (plain[1:].islower() or plain.isupper()))):
+            return None  # an expression, or a word of running text
         return 1
-    return int(bool(_ASSIGNED.search(before)) and bool(_RANDOM.match(candidate)))
+    left = before[-CONTEXT:].split()[-1:] if not before[-1:].isspace() else []
+    if _NUMBER.match(candidate) or (left and _URL.search(left[0])) or _PATH.match(candidate):
+        return 0
+    if _HEX.match(candidate):
+        return 0 if _HASH_NAME.search(before) else None
+    return 0 if _of_words(candidate, words) else None
 
 
 # what the corpus says
@@ -139,7 +179,7 @@ def corpus(docs: DataFrame, dictionary: int = DICTIONARY) -> Corpus:
 
 FEATURES = (
     "length", "distinct", "entropy", "digits", "upper", "lower", "marks", "hex", "switches", "usual", "rarest", "covered",
-    "slashes", "dots", "path_before", "url", "assigned", "named", "quoted", "word_before", "word_after", "line_start",
+    "slashes", "dots", "path_before", "url", "assigned", "named", "quoted", "word_before", "word_after", "line_start", "issued",
 )
 
 
@@ -168,6 +208,7 @@ def features(about: Corpus, before: str, candidate: str, after: str) -> list[flo
         candidate.count("/"), candidate.count("."), float(before[-1:] in ("/", "\\", ".")), float("://" in before[-12:] or "://" in candidate),
         float(tail[-1:] in ("=", ":")), float(named), float(before[-1:] in ("'", '"') and after[:1] == before[-1:]),
         float(last in about.words), float(first in about.words), float(not before or before.endswith("\n")),
+        float(candidate.startswith("-----BEGIN") or bool(_IS_ISSUED.search(candidate))),
     ]
 
 
@@ -256,12 +297,16 @@ def findings(docs: DataFrame) -> DataFrame:
     return bounded(docs).select("text").mapInPandas(of_part, "before string, candidate string, after string")
 
 
-def labelled_by_rule(docs: DataFrame) -> DataFrame:
-    """Labelled findings for corpora without any: ``rule`` on the documents whose id's crc32 modulo 4 is not 2."""
+def labelled_by_rule(docs: DataFrame, words: set[str] | frozenset[str] = frozenset()) -> DataFrame:
+    """Labelled findings for corpora without any: ``rule`` on the documents whose id's crc32 modulo 4 is not 2.
+    The label is null where the rule leaves it open."""
+    dictionary = sent(docs.sparkSession, words)
 
     @F.pandas_udf("int")
-    def label(before: pd.Series, candidate: pd.Series, after: pd.Series) -> pd.Series:
-        return pd.Series([rule(*x) for x in zip(before, candidate, after)], dtype="int32")
+    def label(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        words = received(dictionary)
+        for batch in batches:
+            yield pd.Series([rule(*x, words) for x in zip(*batch)], dtype="Int32")
 
     found = findings(docs.where(remainder("doc_id", 4) != 2))
     return found.withColumn("label", label("before", "candidate", "after"))
@@ -271,7 +316,7 @@ def fitted(docs: DataFrame, labelled: DataFrame | None = None, most: int = MOST)
     """A scanner whose corpus is ``docs`` and whose forest learns from about ``most`` distinct findings of each label
     in ``labelled`` (before, candidate, after, label), chosen by hash over all of them."""
     about = corpus(docs)
-    marks = labelled if labelled is not None else labelled_by_rule(docs)
+    marks = labelled if labelled is not None else labelled_by_rule(docs, about.words)
     marks = marks.where("candidate IS NOT NULL AND length(candidate) BETWEEN 1 AND 4096 AND label IN (0, 1)").select(
         *(F.coalesce(c, F.lit("")).alias(c) for c in ("before", "candidate", "after")), "label"
     )

@@ -61,3 +61,50 @@ def test_given_labels_and_nothing_to_learn(spark, docs_of):
 def test_candidates():
     text = 'password: "hunter2-long" -----BEGIN RSA PRIVATE KEY-----\nAB\n-----END RSA PRIVATE KEY----- aVeryLongMixedCaseWord internationalisation 1234567890123456'
     assert [text[a:b][:12] for a, b in secret_scan.candidates(text)] == ["hunter2-long", "-----BEGIN R", "aVeryLongMix", "123456789012"]
+
+
+def shapes(i):
+    """One secret of each shape, and the text around it."""
+    h = hashlib.sha512(str(i).encode()).hexdigest()
+    letters = "".join(chr(97 + int(h[k : k + 2], 16) % 26) for k in range(0, 64, 2))
+    mixed = "".join(c.upper() if int(h[k], 16) % 2 else c for k, c in enumerate(letters)) + h[:8]
+    jwt = f"eyJ{mixed[:20]}.eyJ{mixed[4:30]}.{mixed[2:38]}"
+    return [
+        (f"{h[:3]}!S3t@{letters[:4]}", 'password = "{}"'), (letters[:10] + h[0] + "7", "pwd: {}"), (letters[:14], 'secret="{}"'),
+        (str(int(h[:16], 16))[:12], "passwd={}"), (jwt, 'access_key: "{}"'), (jwt, "sent {} on"),
+        ("AKIA" + (letters[:12] + "27AZ").upper(), "with {} here"), ("AKIA" + letters[:16].upper(), "with {} here"),
+        ("ghp_" + mixed[:36], "using {} there"), ("sk-" + mixed[:32], "and {} too"),
+    ]
+
+
+def test_secrets_of_many_shapes(spark, docs_of):
+    def planted(n, start):
+        rows, truth = documents(n, start)
+        for i, (_, text) in enumerate(rows):
+            if i % 4 != 0 and i % 3 == 0:
+                secret, around = shapes(start + i)[i // 3 % 10]
+                rows[i] = (start + i, f"{text[:60]} {around.format(secret)} {text[60:]}")
+                truth[start + i] = secret
+        return rows, truth
+
+    scanner = secret_scan.fitted(docs_of(planted(1200, 0)[0], clashing=False))
+    rows, truth = planted(1200, 50_000)
+    missed, wrong = [], []
+    for (i, text), found in zip(rows, scanner.scan([t for _, t in rows])):
+        named = [text[a:b] for a, b, p in found if p >= secret_scan.THRESHOLD]
+        missed += [truth[i]] if i in truth and truth[i] not in named else []
+        wrong += [x for x in named if x != truth.get(i)]
+    assert len(missed) <= 0.05 * len(truth) and len(wrong) <= 0.05 * len(rows), (len(missed), len(truth), missed[:9], wrong[:9])
+
+
+def test_rule_leaves_doubt_open():
+    words = {"window", "garden", "paper"}
+    for secret, around in shapes(5):
+        before, after = around.split("{}")
+        assert secret_scan.rule(before, secret, after) == 1, (secret, around)
+    clear = [("see https://example.", "org/river/letter-10000000/index"), ("order ", "1234567890123456"), ("commit ", "ab" * 20),
+             ("in ", "windowGardenPaper2024"), ("token: ", "https://example.org/a-page"), ("password=", "<your-password>"),
+             ("password: ", "********"), ("in ", "/usr/local/share/data-2024")]
+    assert [secret_scan.rule(b, c, " ", words) for b, c in clear] == [0] * len(clear)
+    open_ = [("id ", "ab" * 20), ("see ", "x9Qz7Lm2Vt5Rk8Pw"), ("the password: ", "something"), ("token = ", "os.environ['A_TOKEN']")]
+    assert [secret_scan.rule(b, c, " ", words) for b, c in open_] == [None] * 4
