@@ -2,10 +2,11 @@
 
 Equal vectors of one label are one point with a count. The points of a label are cut into shards of
 about ``shard_points``; a task builds the graph of one shard. Every pair of shards of a label is then
-one task: the points of the one query the graph of the other, beams are widened until audits against
-brute force find ``recall`` of the links (``hnsw.near_points``), and each link is verified in double
-precision. A task passes on counts and, of its links, only a spanning forest, at most one link for each
-point, so that dense groups of copies don't multiply what is shuffled. Components are united over these.
+one task: the points of each query the graph of the other, beams are widened until audits against
+brute force find ``recall`` of the links (``hnsw.near_points``), each link is verified in double
+precision, and a link found from one side counts for both. A task passes on counts and, of its links, only a
+spanning forest, at most one link for each point, so that dense groups of copies don't multiply what is
+shuffled. Components are united over these.
 
 A task holds two shards: memory is bounded by ``shard_points``, not by the label's size. Work grows
 with the square of a label's number of shards, as each shard must meet each.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.llm.hnsw import Graph, near_points, unit
+from stridelake.llm.hnsw import Graph, near_points, unit, with_pairs
 from stridelake.llm.shared import components, saved
 
 THRESHOLD = 0.98
@@ -50,17 +51,21 @@ def _build(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([[*key, len(points), body]], columns=[*_SHARD, "n", "body"])
 
 
+def _graph(shard) -> Graph:
+    return Graph(shard["own"], [shard[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in shard.files))])
+
+
 def _meet(threshold: float, recall: float, audit: int):
     def query(key: tuple, shards: pd.DataFrame) -> pd.DataFrame:
         asking, asked = np.load(io.BytesIO(shards["asking"][0])), np.load(io.BytesIO(shards["body"][0]))
         same = key[2] == key[3]
-        own = asked["own"]
-        graph = Graph(own, [asked[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in asked.files))])
-        rows, hits = near_points(graph, own, asking["own"], threshold, audit, recall)
-        if same:
-            rows, hits = rows[rows != hits], hits[rows != hits]
-        links = np.bincount(rows, asked["copies"][hits], minlength=len(asking["point"])).astype(np.int64)
+        here, there = asking["own"], asked["own"]
+        rows, hits = near_points(_graph(asked), there, here, threshold, audit, recall, same)
         ids, place = np.unique(np.concatenate([asking["point"], asked["point"]]), return_inverse=True)
+        if not same:
+            back = near_points(_graph(asking), here, there, threshold, audit, recall)
+            rows, hits = with_pairs((rows, hits), back[::-1], len(there))
+        links = np.bincount(rows, asked["copies"][hits], minlength=len(here)).astype(np.int64)
         a, b = place[: len(links)][rows], place[len(links) :][hits]
         root, before = np.arange(len(ids)), None
         while before is None or (root != before).any():
@@ -71,6 +76,8 @@ def _meet(threshold: float, recall: float, audit: int):
             root = root[root]
         n = np.zeros(len(ids), np.int64)
         np.add.at(n, place[: len(links)], links)
+        if not same:
+            np.add.at(n, place[len(links) :], np.bincount(hits, asking["copies"][rows], minlength=len(there)).astype(np.int64))
         return pd.DataFrame({"point": ids, "n": n, "root": ids[root]})
 
     return query
@@ -123,7 +130,7 @@ def embedding_groups(
         "vectors-graphs",
     )
     there = graphs.select(*_SHARD)
-    meetings = there.withColumnRenamed("shard", "asking_shard").join(there, ["label", "dim"])
+    meetings = there.withColumnRenamed("shard", "asking_shard").join(there, ["label", "dim"]).where("asking_shard <= shard")
     asking = graphs.select("label", "dim", F.col("shard").alias("asking_shard"), F.col("body").alias("asking"))
     both = meetings.join(graphs.select(*_SHARD, "body"), _SHARD).join(asking, ["label", "dim", "asking_shard"])
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("point", "n", "root")])

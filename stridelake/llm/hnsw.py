@@ -162,29 +162,79 @@ class Graph:
         return np.take_along_axis(ids, by, 1), np.take_along_axis(sims, by, 1)
 
 
-def near_points(graph: Graph, own: np.ndarray, queries: np.ndarray, threshold: float, audit: int, recall: float):
-    """Yields (rows of ``queries``, positions) of the pairs with cosine >= threshold in double precision.
+def near_points(graph: Graph, own: np.ndarray, queries: np.ndarray, threshold: float, audit: int, recall: float, same: bool = False):
+    """(rows of ``queries``, positions) of the pairs with cosine >= threshold in double precision.
 
     ``own`` and ``queries`` are unit vectors in double precision, ``own`` in the graph's order. A beam whose
-    last place is still above the threshold is widened for its row until it isn't. Then ``audit`` rows spread
-    over all, and as many of those with hits, are compared with all points: while fewer than ``recall`` of
-    their pairs are found, all rows are searched again with beams twice as wide, at the end as wide as the graph.
+    last place is still above the threshold is widened for its row until it isn't. With ``same`` the queries are
+    the graph's own points: a pair of a point with itself is neither returned nor audited, and a link found from
+    one side holds for both.
+
+    The audit compares rows spread over all with all points: ``audit`` rows, and twice as many again and again until
+    they hold four times ``audit`` links; where links are so rare that this takes all rows, the comparison is the
+    result. It also compares ``audit`` rows that have links. While fewer than ``recall`` of the links of either
+    part are found, all rows are searched again with beams twice as wide, and where a beam as wide as the graph
+    doesn't do, all rows are compared.
     """
-    n, beam = len(own), 32
-    loose = threshold - 1e-5
-    spread = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(np.int64))
+    n, beam, loose = len(own), 32, threshold - 1e-5
+    order = np.random.default_rng(11).permutation(len(queries))
+    true, done, size = np.full(len(queries), -1), 0, min(audit, len(queries))
+    exact = []
+    while True:
+        exact.append(_compared(own, queries, order[done:size], threshold, same))
+        true[order[done:size]] = np.bincount(exact[-1][0], minlength=len(queries))[order[done:size]]
+        done = size
+        if done == len(queries):
+            pairs = tuple(map(np.concatenate, zip(*exact)))
+            return with_pairs(pairs, pairs[::-1], n) if same else pairs
+        if true[order[:done]].sum() >= 4 * audit:
+            break
+        size = min(2 * size, len(queries))
+    del exact
     while True:
         pairs = _all_rows(graph, own, queries, threshold, loose, beam)
-        hit = np.unique(pairs[0])
-        also = hit[np.unique(np.linspace(0, len(hit) - 1, min(audit, len(hit))).astype(np.int64))] if len(hit) else hit
-        checked = np.unique(np.concatenate([spread, also]))
-        want = sum(int((queries[checked[i : i + 64]] @ own.T >= threshold).sum()) for i in range(0, len(checked), 64))
-        got = int(np.isin(pairs[0], checked).sum())
-        if got >= recall * want or beam >= n:
+        if same:
+            pairs = tuple(x[pairs[0] != pairs[1]] for x in pairs)
+            pairs = with_pairs(pairs, pairs[::-1], n)
+        found = np.bincount(pairs[0], minlength=len(queries))
+        also = order[found[order] > 0][:audit]
+        new = also[true[also] < 0]
+        true[new] = np.bincount(_compared(own, queries, new, threshold, same)[0], minlength=len(queries))[new]
+        if all(found[part].sum() >= recall * true[part].sum() for part in (order[:done], also)):
             return pairs
+        if beam >= n:
+            pairs = _compared(own, queries, np.arange(len(queries)), threshold, same)
+            return with_pairs(pairs, pairs[::-1], n) if same else pairs
         beam = min(2 * beam, n)
 
 
+def with_pairs(pairs, more, n: int):
+    """``pairs`` and those of ``more`` that are not among them; second members are below ``n``."""
+    keys = pairs[0] * n + pairs[1]
+    keys.sort()
+    lost = []
+    for at in range(0, len(more[0]) if len(keys) else 0, 1 << 20):
+        part = more[0][at : at + (1 << 20)] * n + more[1][at : at + (1 << 20)]
+        lost.append(at + np.flatnonzero(keys[np.minimum(np.searchsorted(keys, part), len(keys) - 1)] != part))
+    if not len(keys):
+        return more
+    lost = np.concatenate(lost or [np.zeros(0, np.int64)])
+    return tuple(np.concatenate([a, b[lost]]) if len(lost) else a for a, b in zip(pairs, more))
+
+
+def _compared(own, queries, rows, threshold, same):
+    """The pairs of the given rows, by comparison with all points."""
+    a, b = [rows[:0]], [rows[:0]]
+    step = max(1, (1 << 22) // max(1, len(own)))
+    for at in range(0, len(rows), step):
+        part = rows[at : at + step]
+        r, c = np.nonzero(queries[part] @ own.T >= threshold)
+        keep = part[r] != c if same else slice(None)
+        a.append(part[r][keep])
+        b.append(c[keep])
+    return np.concatenate(a), np.concatenate(b)
+
+
 def _all_rows(graph, own, queries, threshold, loose, beam):
     rows, points = [], []
     waiting = np.arange(len(queries))
