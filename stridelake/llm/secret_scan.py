@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from stridelake.llm.shared import bounded, free_name, received, remainder, saved, sent, slices, table
 
 MOST = 2000
-DICTIONARY = 20_000
+SHARE = 1e-6
 THRESHOLD = 0.5
 CONTEXT = 60
 MASK = "[SECRET]"
@@ -55,6 +55,7 @@ _CODE = re.compile(r"[A-Za-z_]\w*(?:\.\w+)*[(\[]")
 _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CLASSES = 40
+_HELD = 32 << 20
 
 
 def _class_table() -> bytes:
@@ -123,56 +124,67 @@ def rule(before: str, candidate: str, after: str, words: set[str] | frozenset[st
 # what the corpus says
 
 
+def _word_rows(words: Counter) -> pd.DataFrame:
+    joined: Counter = Counter()
+    for token, n in words.items():
+        word = token if token.isalpha() else "".join(_LETTERS.findall(token))
+        if len(word) >= 3:
+            joined[word] += n
+    return pd.DataFrame({"word": pd.Series(list(joined), dtype=object), "pair": -1, "n": list(joined.values())})
+
+
 def _count_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words: Counter = Counter()
-    pairs = np.zeros(_CLASSES * _CLASSES, np.int64)
+    pairs = np.zeros(_CLASSES * _CLASSES + 1, np.int64)  # the last: all tokens
     for batch in batches:
         for text in batch["text"]:
             if text:
                 kinds = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_TABLE), np.uint8).astype(np.int64)
-                pairs += np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=_CLASSES**2)
-                words.update(w for w in text.lower().split() if 3 <= len(w) <= 12)
-        if len(words) > 150_000:
-            yield pd.DataFrame({"word": pd.Series(list(words), dtype=object), "pair": -1, "n": list(words.values())})
+                pairs += np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=len(pairs))
+                tokens = [w for w in text.lower().split() if len(w) >= 3]
+                pairs[-1] += len(tokens)
+                words.update(tokens)
+        if len(words) > 150_000 or sum(map(len, words)) > _HELD:
+            yield _word_rows(words)
             words.clear()
-    yield pd.DataFrame({"word": pd.Series(list(words), dtype=object), "pair": -1, "n": list(words.values())})
+    yield _word_rows(words)
     some = np.flatnonzero(pairs)
     yield pd.DataFrame({"word": "", "pair": some, "n": pairs[some]})
 
 
 class Corpus:
-    """The most frequent short words and the character transitions of all documents."""
+    """The words of more than a share of all tokens, and the character transitions of all documents."""
 
     def __init__(self, words: set[str], pairs: np.ndarray):
         self.words = words
+        lengths: dict[str, set[int]] = {}
+        for w in words:
+            lengths.setdefault(w[:3], set()).add(len(w))
+        self.lengths = {start: sorted(found, reverse=True) for start, found in lengths.items()}
         table_ = pairs.reshape(_CLASSES, _CLASSES) + 1.0
         self.log = np.log(table_ / table_.sum(axis=1, keepdims=True))
 
-
-def corpus(docs: DataFrame, dictionary: int = DICTIONARY) -> Corpus:
-    """``dictionary`` bounds the words that the driver and the tasks hold; all documents are counted for it.
-
-    The words are those above the lowest frequency (in steps of 1/16 of a power of two) that leaves no more than
-    that many, so that the driver gets the words alone and not the best of every task.
-    """
-    counts = saved(
-        bounded(docs).select("text").mapInPandas(_count_part, "word string, pair long, n long").groupBy("word", "pair").agg(F.sum("n").alias("n")),
-        "secrets-counts",
-    )
-    pairs = np.zeros(_CLASSES * _CLASSES)
+    def covered(self, low: str) -> int:
+        """Characters that dictionary words cover: greedy, the longest that starts at each place."""
+        covered, at = 0, 0
+        while at < len(low):
+            hit = next((k for k in self.lengths.get(low[at : at + 3], ()) if low[at : at + k] in self.words), 0)
+            covered += hit
+            at += hit or 1
+        return covered
+
+
+def corpus(docs: DataFrame, share: float = SHARE) -> Corpus:
+    """The dictionary is every word, of any length, that is seen twice and makes up ``share`` of all tokens of three and
+    more characters: the same rule at every size, and never more than 1 / ``share`` words. A word is a token's letters."""
+    counted = bounded(docs).select("text").mapInPandas(_count_part, "word string, pair long, n long")
+    counts = counted.groupBy("word", "pair").agg(F.sum("n").alias("n"))
+    counts = saved(counts.where("pair >= 0 OR n > 1"), "secrets-counts")
+    pairs = np.zeros(_CLASSES * _CLASSES + 1)
     for r in counts.where("pair >= 0").collect():
         pairs[r["pair"]] = r["n"]
-    step = F.floor(F.log2("n") * 16)
-    frequent = counts.where("pair < 0 AND n > 1").withColumn("step", step)
-    left, lowest = dictionary, None
-    for r in sorted(frequent.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
-        left -= r["words"]
-        if left < 0:
-            break
-        lowest = r["step"]
-    top = frequent.where(F.col("step") >= lowest).select("word").collect() if lowest is not None else []
-    words = {"".join(_LETTERS.findall(r["word"])) for r in top}
-    return Corpus({w for w in words if len(w) >= 3}, pairs)
+    frequent = counts.where((F.col("pair") < 0) & (F.col("n") >= F.lit(float(share * pairs[-1])))).select("word")
+    return Corpus({r["word"] for r in frequent.collect()}, pairs[:-1])
 
 
 # features
@@ -190,11 +202,7 @@ def features(about: Corpus, before: str, candidate: str, after: str) -> list[flo
     moves = about.log[kinds[:-1], kinds[1:]] if len(kinds) > 1 else np.zeros(1)
     groups = np.where(kinds < 26, 0, np.where(kinds == 26, 1, 2))
     low = candidate.lower()
-    covered, at = 0, 0
-    while at < min(n, 200):  # greedy: the longest dictionary word that starts here
-        hit = next((k for k in range(min(12, n - at), 2, -1) if low[at : at + k] in about.words), 0)
-        covered += hit
-        at += hit or 1
+    covered = about.covered(low[:200])
     left, right = before.split(), after.split()
     last = "".join(_LETTERS.findall(left[-1].lower())) if left else ""
     first = "".join(_LETTERS.findall(right[0].lower())) if right else ""

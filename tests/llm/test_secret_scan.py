@@ -108,3 +108,17 @@ def test_rule_leaves_doubt_open():
     assert [secret_scan.rule(b, c, " ", words) for b, c in clear] == [0] * len(clear)
     open_ = [("id ", "ab" * 20), ("see ", "x9Qz7Lm2Vt5Rk8Pw"), ("the password: ", "something"), ("token = ", "os.environ['A_TOKEN']")]
     assert [secret_scan.rule(b, c, " ", words) for b, c in open_] == [None] * 4
+
+
+def test_dictionary_is_the_same_rule_at_every_size(spark, docs_of):
+    """Words of nearly equal frequency all stay, long ones too; below the share a word is left out, whatever the size."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = ["".join(letters[i // 26**k % 26] for k in range(4)) + "internationally" * (i % 2) for i in range(25_000)]
+    rows = [(i, " ".join(many)) for i in range(2)]
+    about = secret_scan.corpus(docs_of(rows, clashing=False))
+    assert about.words == set(many)
+    assert about.covered("x1" + many[1] + "9") == len(many[1])
+    for times in (10, 40):
+        rows = [(i, "river stone " * 50 + "uncommon," * (i % 5 == 0)) for i in range(times)]
+        assert secret_scan.corpus(docs_of(rows, clashing=False), share=0.005).words == {"river", "stone"}
+        assert secret_scan.corpus(docs_of(rows, clashing=False), share=0.001).words == {"river", "stone", "uncommon"}
