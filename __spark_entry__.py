@@ -31,7 +31,7 @@ from stridelake.plans.build import build_marts, publish_marts
 from stridelake.plans.ingest import ingest
 from stridelake.plans.load import load_activity_counts, load_summary, stored_mart
 from stridelake.plans.report import CODE_COLUMNS, report
-from stridelake.plans.serve import json_rows, latest_stored_summary, latest_summary, query, rows_as_dicts, write_json
+from stridelake.plans.serve import json_rows, latest_stored_summary, latest_summary, query, rows_as_maps, write_json
 from stridelake.proxies import runs_from_events, runs_from_lineitem
 from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
 from stridelake.session import scratch_path
@@ -242,7 +242,7 @@ def _adhoc_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dict_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = query(spark, f"SELECT date, username, activity, cnt FROM {ACTIVITY_COUNTS}", _mart_dir(spark, sf_dir))
-    return spark.createDataFrame(rows_as_dicts(counts), counts.schema)
+    return rows_as_maps(counts).select(*(F.col("row")[f.name].cast(f.dataType).alias(f.name) for f in counts.schema))
 
 
 def _adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:

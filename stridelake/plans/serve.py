@@ -75,6 +75,12 @@ def iterate_dicts(df: DataFrame) -> Iterator[dict[str, Any]]:
     return (r.asDict() for r in df.toLocalIterator())
 
 
+def rows_as_maps(df: DataFrame) -> DataFrame:
+    """Each row as one map of column names to values as text, in column ``row``; rows stay in Spark."""
+    pairs = [x for f in df.schema for x in (F.lit(f.name), quoted(f.name).cast("string"))]
+    return df.select(F.create_map(*pairs).alias("row"))
+
+
 def json_rows(df: DataFrame) -> DataFrame:
     """Each row as one JSON object in column ``value``; dates are ISO, NaN is left out."""
     return df.select(F.to_json(F.struct(*_without_nan(df))).alias("value"))

@@ -62,3 +62,8 @@ def test_entry_has_rows(spark):
     result = entry(spark)
     assert result.columns[:2] == ["date", "username"]
     assert not result.isEmpty()
+
+
+def test_dict_rows_stay_in_spark(spark):
+    plan = QUERIES["adhoc_dict_rows"](spark, SF_DIR)._jdf.queryExecution().analyzed().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan and "map(" in plan
