@@ -202,7 +202,7 @@ def features(about: Corpus, before: str, candidate: str, after: str) -> list[flo
     moves = about.log[kinds[:-1], kinds[1:]] if len(kinds) > 1 else np.zeros(1)
     groups = np.where(kinds < 26, 0, np.where(kinds == 26, 1, 2))
     low = candidate.lower()
-    covered = about.covered(low[:200])
+    covered = about.covered(low)
     left, right = before.split(), after.split()
     last = "".join(_LETTERS.findall(left[-1].lower())) if left else ""
     first = "".join(_LETTERS.findall(right[0].lower())) if right else ""
@@ -212,7 +212,7 @@ def features(about: Corpus, before: str, candidate: str, after: str) -> list[flo
         min(n, 400), len(count), float(-(count * np.log2(count)).sum()),
         sum(map(str.isdigit, candidate)) / n, sum(map(str.isupper, candidate)) / n, sum(map(str.islower, candidate)) / n,
         float((groups == 2).mean()), float(all(c in "0123456789abcdefABCDEF" for c in candidate)),
-        float((groups[1:] != groups[:-1]).mean()) if n > 1 else 0.0, float(moves.mean()), float(moves.min()), covered / min(n, 200),
+        float((groups[1:] != groups[:-1]).mean()) if n > 1 else 0.0, float(moves.mean()), float(moves.min()), covered / n,
         candidate.count("/"), candidate.count("."), float(before[-1:] in ("/", "\\", ".")), float("://" in before[-12:] or "://" in candidate),
         float(tail[-1:] in ("=", ":")), float(named), float(before[-1:] in ("'", '"') and after[:1] == before[-1:]),
         float(last in about.words), float(first in about.words), float(not before or before.endswith("\n")),

@@ -122,3 +122,10 @@ def test_dictionary_is_the_same_rule_at_every_size(spark, docs_of):
         rows = [(i, "river stone " * 50 + "uncommon," * (i % 5 == 0)) for i in range(times)]
         assert secret_scan.corpus(docs_of(rows, clashing=False), share=0.005).words == {"river", "stone"}
         assert secret_scan.corpus(docs_of(rows, clashing=False), share=0.001).words == {"river", "stone", "uncommon"}
+
+
+def test_coverage_of_the_whole_candidate():
+    about = secret_scan.Corpus({"window"}, secret_scan.np.zeros(secret_scan._CLASSES**2))
+    at = secret_scan.FEATURES.index("covered")
+    assert secret_scan.features(about, "", "window" * 50 + "0" * 300, "")[at] == 0.5
+    assert secret_scan.features(about, "", "0" * 300 + "window" * 50, "")[at] == 0.5
