@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from stridelake.llm import chat, decontamination, kd_shards
+from stridelake.llm import chat, decontamination, hard_negatives, kd_shards
 from stridelake.llm.bpe import op8_bpe_codec
 from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.gru_toxicity import op5_toxicity_gru
 from stridelake.llm.language_svm import op3_language_svm
 from stridelake.llm.line_crf import op4_quality_crf
+from stridelake.llm.periodic_runs import op13_periodic_runs
 from stridelake.llm.secret_scan import op9_secret_scan
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
@@ -22,9 +23,12 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat_format": chat.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
