@@ -9,6 +9,7 @@ from stridelake.llm.gru_toxicity import op5_toxicity_gru
 from stridelake.llm.language_svm import op3_language_svm
 from stridelake.llm.line_crf import op4_quality_crf
 from stridelake.llm.periodic_runs import op13_periodic_runs
+from stridelake.llm.pii import op11_pii
 from stridelake.llm.secret_scan import op9_secret_scan
 from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_pii": op11_pii,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -30,5 +32,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_chat_format": chat.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
+    "op11_pii": op11_pii,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }
