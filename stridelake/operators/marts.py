@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.functions.columns import day, magnitude, reading
+from stridelake.schema import BATCH_ID, EVENT_MONTH
 
 GYRO = ("gyro_x", "gyro_y", "gyro_z")
 
@@ -35,6 +36,13 @@ def rollup(runs: DataFrame, keep: Sequence[str] = (), on_bad_date: str = "error"
     return samples.groupBy("date", "username", "activity", "wrist", *keep).agg(*map(F.expr, measures))
 
 
+def merged_rollup(rolled: DataFrame) -> DataFrame:
+    """The rows of several batches added up; what is left out are the batches."""
+    keys = ["date", "username", "activity", "wrist", *(c for c in (EVENT_MONTH,) if c in rolled.columns)]
+    measures = [c for c in rolled.columns if c not in (*keys, BATCH_ID)]
+    return rolled.groupBy(*keys).agg(*((F.max(c) if c.endswith("_max") else F.sum(c)).alias(c) for c in measures))
+
+
 def summary_of(rolled: DataFrame) -> DataFrame:
     """``daily_user_summary`` from a roll-up.
 

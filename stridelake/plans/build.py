@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.functions.columns import sql_name
 from stridelake.operators.marts import counts_of, rollup, summary_of
-from stridelake.schema import ACTIVITY_COUNTS, BATCH_ID, EVENT_MONTH, ROLLUP, RUN_ID, SUMMARY, WRIST_COUNTS
-from stridelake.sources.files import exists, read_text, write_swapped, write_text
+from stridelake.schema import ACTIVITY_COUNTS, BATCH_ID, EVENT_MONTH, NO_VALUE, ROLLUP, SUMMARY, WRIST_COUNTS
+from stridelake.sources.files import side_by_side
 from stridelake.sources.lake import read_lake
-from stridelake.sources.tables import read_table, write_table
+from stridelake.sources.manifest import Manifest, Table, commit, latest_manifest, new_build, resolve, table_path, value_of
+from stridelake.sources.tables import merged_schema, read_parts, read_table, sealed, write_parts
 
+# Notes in manifests: the incremental run that tables belong to, and the lake's state that marts show.
+RUN, LAKE_VERSION = "run", "lake_version"
 # Roll-up rows of a full build; batches of the incremental run count from 0.
 FULL_BUILD = -1
 
@@ -34,17 +37,27 @@ def marts_of(rolled: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_rollup(rolled: DataFrame, path: str, dynamic: bool = False) -> None:
-    write_table(
-        rolled, path, partition_by=[EVENT_MONTH, BATCH_ID], sort_by=["date", "username"], dynamic=dynamic
-    )
+def write_rollup(rolled: DataFrame, mart_dir: str, build: str) -> Table:
+    """The rows as new partitions of the roll-up, for a manifest that is yet to be written."""
+    parts, _ = write_parts(rolled, mart_dir, ROLLUP, build, [EVENT_MONTH, BATCH_ID], sort_by=["date", "username"])
+    return Table(merged_schema(None, rolled.schema, ROLLUP), parts)
 
 
-def write_mart(mart: DataFrame, path: str, dynamic: bool = False) -> None:
-    """By month, and sorted, so that day and user filters skip row groups."""
-    write_table(
-        _with_month(mart), path, partition_by=[EVENT_MONTH], sort_by=["date", "username"], dynamic=dynamic
-    )
+def write_marts(rolled: DataFrame, mart_dir: str, build: str) -> dict[str, Table]:
+    """The three marts of a roll-up, or of some months of one, as new partitions.
+
+    By month, and sorted, so that day and user filters skip row groups. Files, rows and digests are taken
+    down, so that a reader can tell that a mart is whole.
+    """
+    spark = rolled.sparkSession
+
+    def write(name: str, mart: DataFrame) -> Table:
+        parts, _ = write_parts(mart, mart_dir, name, build, [EVENT_MONTH], sort_by=["date", "username"])
+        table = Table(merged_schema(None, mart.schema, name), parts)
+        return Table(table.schema, sealed(spark, mart_dir, name, table, parts))
+
+    marts = {name: _with_month(mart) for name, mart in marts_of(rolled).items()}
+    return dict(zip(marts, side_by_side(spark, [functools.partial(write, *m) for m in marts.items()])))
 
 
 def _with_month(df: DataFrame) -> DataFrame:
@@ -57,40 +70,32 @@ def build_marts(
     """Build the roll-up and the three marts from the whole lake; returns their paths.
 
     The lake is scanned once. The roll-up is a written table, so the marts are three
-    small jobs over it, and a lost executor never causes a second scan of the lake. Running it
-    again gives the same tables.
+    small jobs over it, and a lost executor never causes a second scan of the lake. All four change at
+    one instant, when the manifest that names their new folders is moved into place; until then, and if the
+    build fails, readers see the old ones. Running it again gives the same tables.
     """
+    lake = resolve(spark, lake_path)
     runs = read_lake(spark, lake_path, keep_batch_id=True)
-    paths = {name: f"{mart_dir.rstrip('/')}/{name}" for name in (ROLLUP, SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS)}
-    stored: dict[str, DataFrame] = {}
-
-    def write_base(staging: str) -> None:
-        write_rollup(roll_up(runs, on_bad_date=on_bad_date), staging)
-        if exists(spark, f"{lake_path}/{RUN_ID}"):
-            write_text(spark, f"{staging}/{RUN_ID}", read_text(spark, f"{lake_path}/{RUN_ID}"))
-        stored.update(marts_of(read_table(spark, staging)))
-
-    def mart_writer(name: str) -> Callable[[str], None]:
-        return lambda staging: write_mart(stored[name], staging)
-
-    write_swapped(
-        spark,
-        {paths[ROLLUP]: write_base},
-        {paths[name]: mart_writer(name) for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS)},
-    )
-    return paths
+    before = latest_manifest(spark, mart_dir) or Manifest(mart_dir)
+    build = new_build()
+    rolled = write_rollup(roll_up(runs, on_bad_date=on_bad_date), mart_dir, build)
+    marts = write_marts(read_parts(spark, mart_dir, ROLLUP, rolled), mart_dir, build)
+    notes = {RUN: lake[0].notes.get(RUN), LAKE_VERSION: lake[0].version} if lake else {RUN: None, LAKE_VERSION: None}
+    commit(spark, before.following({ROLLUP: rolled, **marts}, **notes))
+    return {name: table_path(mart_dir, name) for name in (ROLLUP, *marts)}
 
 
 def publish_marts(spark: SparkSession, mart_dir: str, database: str = "default") -> list[str]:
-    """Make the marts catalog tables over their folders; repeat after marts were updated.
+    """Make the marts catalog tables over their folders as they are now; repeat after marts were updated.
 
     The tables also show the partition column ``event_month``.
     """
     names = []
+    manifest = latest_manifest(spark, mart_dir)
     for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS):
-        path = f"{mart_dir.rstrip('/')}/{name}"
+        path = table_path(mart_dir, name)
         table = f"{sql_name(database)}.{sql_name(name)}"
-        schema = read_table(spark, path).schema
+        schema = manifest.tables[name].schema if manifest else read_table(spark, path).schema
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         columns = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in schema)
         quoted_path = path.replace("\\", "\\\\").replace("'", "\\'")
@@ -98,6 +103,12 @@ def publish_marts(spark: SparkSession, mart_dir: str, database: str = "default")
             f"CREATE TABLE {table} ({columns}) USING parquet "
             f"PARTITIONED BY ({EVENT_MONTH}) LOCATION '{quoted_path}'"
         )
-        spark.catalog.recoverPartitions(table)
+        if manifest is None:
+            spark.catalog.recoverPartitions(table)
+        for part in manifest.parts(name) if manifest else ():
+            month = value_of(part, EVENT_MONTH)
+            spec = "NULL" if month == NO_VALUE else f"'{month}'"
+            folder = f"{quoted_path}/{manifest.tables[name].folder(part)}"
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({EVENT_MONTH} = {spec}) LOCATION '{folder}'")
         names.append(f"{database}.{name}")
     return names

@@ -30,9 +30,11 @@ RUNS_SCHEMA = _schema(SENSOR_TYPES)
 
 # Columns the lake adds to the raw ones.
 EVENT_DATE = "event_date"
-#: File in a lake or roll-up that holds the id of the incremental run it belongs to.
-RUN_ID = "_incremental_run"
 BATCH_ID = "batch_id"
+# In lakes of incremental runs: the raw file that a row comes from.
+SOURCE_FILE = "source_file"
+# What Spark writes for NULL in the name of a partition folder.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Partition of the roll-up and the marts: a day of them is small even where a day of
 # samples is large.
 EVENT_MONTH = "event_month"

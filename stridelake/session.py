@@ -23,6 +23,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def session_like(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session of the same application with the settings of ``spark``, and others on top; views are its own."""
+    session = spark.newSession()
+    for name, value in {**spark.conf.getAll, **settings}.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder all executors share (``spark.checkpoint.dir``)."""
     base = spark.conf.get("spark.checkpoint.dir", None)

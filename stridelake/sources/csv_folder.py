@@ -37,7 +37,11 @@ class HeaderGroup:
 
 
 def read_csv_files(
-    spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None, folder: str | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    multi_line: bool | None = None,
+    folder: str | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """All rows of the files as text columns, in first-seen column order, plus ``TOO_LONG``.
 
@@ -46,13 +50,17 @@ def read_csv_files(
     text) and only the files that need it are read whole. ``False`` skips the check.
 
     If the files are all there is in ``folder``, scans of all of them name the folder alone,
-    which is listed once instead of looking up every path.
+    which is listed once instead of looking up every path. ``file_column`` names a column for the file's name.
     """
     groups = header_groups(spark, paths, multi_line, folder)
     _refuse_case_twins(spark, [c for g in groups for c in g.columns])
-    frames = [_read_group(spark, g, folder if len(groups) == 1 else None) for g in groups]
-    united = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     names = list(dict.fromkeys(c for g in groups for c in g.columns))
+    if file_column is not None:
+        if file_column in names:
+            raise ValueError(f"column {file_column} is reserved for the file's name")
+        names.append(file_column)
+    frames = [_read_group(spark, g, folder if len(groups) == 1 else None, file_column) for g in groups]
+    united = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return united.select(*(quoted(n) for n in names), TOO_LONG)
 
 
@@ -181,7 +189,7 @@ def _listed(metadata_path: str) -> str:
     return "file:" + path[len("file://"):] if path.startswith("file:///") else path
 
 
-def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None) -> DataFrame:
+def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None, file_column: str | None) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*group.columns, MALFORMED)])
     reader = spark.read.format("csv").schema(schema).options(
         header=True,
@@ -197,7 +205,12 @@ def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None) ->
     unquoted = F.regexp_replace(MALFORMED, '"[^"]*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1
     too_long = F.coalesce(fields > len(group.columns), F.lit(False))
-    return rows.select(*(quoted(c) for c in group.columns), too_long.alias(TOO_LONG))
+    columns = [quoted(c) for c in group.columns]
+    if file_column is not None:
+        # Scan metadata has paths URL-encoded, where a plus stands for itself.
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        columns.append(F.substring_index(path, "/", -1).alias(file_column))
+    return rows.select(*columns, too_long.alias(TOO_LONG))
 
 
 def _refuse_case_twins(spark: SparkSession, names: Sequence[str]) -> None:

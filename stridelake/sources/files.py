@@ -13,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _GLOB_CHARACTERS = re.compile(r"([\\*?\[\]{}])")
-_STATUS = re.compile(r"\{path=(.*?); isDirectory=(true|false); (?:length=(\d+); )?")
+_STATUS = re.compile(r"\{path=(.*?); isDirectory=(true|false); (?:length=(\d+); )?.*?modification_time=(\d+); ")
 
 
 @dataclass(frozen=True)
@@ -21,6 +21,7 @@ class Entry:
     path: str
     is_directory: bool
     length: int
+    modified: int  # milliseconds since 1970
 
     @property
     def name(self) -> str:
@@ -48,8 +49,8 @@ def list_folder(spark: SparkSession, folder: str) -> list[Entry]:
     text = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(statuses)
     found = _STATUS.findall(text)
     if len(found) == len(statuses):
-        return [Entry(path, kind == "true", int(length or 0)) for path, kind, length in found]
-    return [Entry(s.getPath().toString(), s.isDirectory(), s.getLen()) for s in statuses]
+        return [Entry(path, kind == "true", int(length or 0), int(time)) for path, kind, length, time in found]
+    return [Entry(s.getPath().toString(), s.isDirectory(), s.getLen(), s.getModificationTime()) for s in statuses]
 
 
 def list_csv_files(spark: SparkSession, raw_dir: str) -> list[Entry]:
@@ -87,6 +88,16 @@ def literal_path(path: str) -> str:
     return _GLOB_CHARACTERS.sub(r"\\\1", path)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> bool:
+    fs, source = _at(spark, old)
+    return fs.rename(source, _at(spark, new)[1])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _at(spark, path)
+    fs.delete(jpath, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, jpath = _at(spark, path)
     out = fs.create(jpath, True)

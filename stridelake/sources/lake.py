@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +12,25 @@ from pyspark.sql import types as T
 
 from stridelake.functions.columns import parse_day, sql_name
 from stridelake.functions.inference import infer_types, misfit_sql, typed_sql
-from stridelake.schema import BATCH_ID, EVENT_DATE, SENSOR_TYPES
+from stridelake.schema import BATCH_ID, EVENT_DATE, SENSOR_TYPES, SOURCE_FILE
+from stridelake.session import session_like
 from stridelake.sources.csv_folder import TOO_LONG
 from stridelake.sources.files import literal_path
-from stridelake.sources.tables import read_table, write_table
+from stridelake.sources.manifest import Part
+from stridelake.sources.tables import read_table, write_parts, write_table
 
 MISFITS = "__misfits__"
 
 
+@dataclass(frozen=True)
+class Written:
+    """What a batch has written: its rows, its partitions for a manifest, and their columns."""
+
+    rows: int
+    parts: dict[str, Part]
+    schema: T.StructType
+
+
 class Misfit(ValueError):
     """A value does not fit the type its column was written with."""
 
@@ -34,13 +46,14 @@ def write_lake(
     batch_id: int | None = None,
     on_bad_date: str = "error",
     rebalance: bool = True,
-) -> int:
-    """Type the text rows and write them by day; returns the number of rows.
+    build: str | None = None,
+) -> int | Written:
+    """Type the text rows and write them by day; returns the number of rows, or what there is to say of a batch.
 
     Casts, checks and counts happen in the one write job. A row with more fields than its
     header fails it. A value that does not fit its type raises ``Misfit`` after the
-    write of a whole lake, naming every such column; with a ``batch_id``, where only this
-    batch's partitions are replaced in place, it fails the write before anything is committed.
+    write of a whole lake, naming every such column; with a ``batch_id`` and the name of a ``build``, which writes
+    partitions for a manifest, it fails the write.
     """
     names = [n for n in raw.columns if n in types]
     for reserved in (EVENT_DATE, BATCH_ID):
@@ -68,12 +81,16 @@ def write_lake(
     if in_place:
         rows = rows.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
         partition_by.append(BATCH_ID)
+    sort_by = ["username"] if "username" in names else []
+    if in_place:
+        rows = rows.drop(MISFITS)
+        parts, found = write_parts(rows, path, "", build, partition_by, sort_by=sort_by, rebalance=rebalance)
+        return Written(found["rows"], parts, rows.schema)
     found = write_table(
         rows,
         path,
         partition_by=partition_by,
-        sort_by=["username"] if "username" in names else [],
-        dynamic=in_place,
+        sort_by=sort_by,
         rebalance=rebalance,
         measure={"misfits": f"bit_or({MISFITS})"},
         drop=[MISFITS],
@@ -100,31 +117,29 @@ def column_types(
 def read_lake(spark: SparkSession, path: str, keep_batch_id: bool = False) -> DataFrame:
     """The lake as a lazy, pruned scan, with its ``event_date`` if it has one.
 
-    Also reads a Parquet file or folder written by other tools, including one whose
-    ``date`` is a nanosecond timestamp, which Spark reads only as a number and only with a session
-    setting: that stays on, as the plan needs it when it runs. A ``date`` that the
-    file itself has as a number is refused.
+    Also reads a Parquet file or folder written by other tools, including one whose ``date`` is a nanosecond timestamp.
+    Spark reads that only as a number and only with a setting, which a session of its own has; that of
+    ``spark`` stays as it is. A ``date`` that the file itself has as a number is refused.
     """
-    setting = "spark.sql.legacy.parquet.nanosAsLong"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
+    nanoseconds = False
+    plain = spark.conf.get(_NANOSECONDS) == "false"
+    session = spark if plain else session_like(spark, **{_NANOSECONDS: "false"})
     try:
-        runs, nanoseconds = read_table(spark, path), False
+        runs = read_table(session, path)
     except PySparkException as e:
         if "PARQUET_TYPE_ILLEGAL" not in f"{e.getCondition()} {e}" and "NANOS" not in str(e):
             raise
         nanoseconds = True
-    finally:
-        spark.conf.set(setting, before)
-    if nanoseconds:
-        spark.conf.set(setting, "true")
-        runs = spark.read.parquet(literal_path(path))
+        runs = session_like(spark, **{_NANOSECONDS: "true"}).read.parquet(literal_path(path))
     if "date" in runs.columns and isinstance(runs.schema["date"].dataType, T.IntegralType):
         if not nanoseconds:
             raise ValueError(f"column date of {path} is a number, not a date")
         epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
         runs = runs.withColumn("date", F.expr(f"timestampadd(MICROSECOND, date div 1000, {epoch})"))
-    return runs if keep_batch_id else runs.drop(BATCH_ID)
+    return (runs if keep_batch_id else runs.drop(BATCH_ID)).drop(SOURCE_FILE)
+
+
+_NANOSECONDS = "spark.sql.legacy.parquet.nanosAsLong"
 
 
 def register_runs(spark: SparkSession, source: str | DataFrame, name: str = "runs") -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from stridelake.functions.columns import quoted
 from stridelake.sources import files
+from stridelake.sources.manifest import BUILD, Part, Table, resolve, table_path
 
 _COLUMNS_FILE = "_columns.json"
 
@@ -29,8 +32,10 @@ def write_table(
     rebalance: bool = True,
     measure: dict[str, str] | None = None,
     drop: Sequence[str] = (),
+    build: str | None = None,
 ) -> dict[str, object]:
-    """Write ``df`` as Parquet, replacing the folder, or only the partitions it holds.
+    """Write ``df`` as Parquet, replacing the folder, or only the partitions it holds, or, with ``build``,
+    adding a folder of that name to them, which a manifest will name.
 
     Rows are brought together by partition value with a rebalance: adaptive execution
     splits a value that holds much of the data over several tasks and joins small ones,
@@ -51,6 +56,9 @@ def write_table(
     counted = Observation()
     df = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(F.expr(sql).alias(n) for n, sql in (measure or {}).items()))
     df = df.drop(*drop)
+    if build is not None:
+        df.withColumn(BUILD, F.lit(build)).write.mode("append").partitionBy(*partition_by, BUILD).parquet(path)
+        return counted.get
     if dynamic:
         _keep_schema(spark, path, kept)
     writer = df.write.mode("overwrite")
@@ -65,27 +73,99 @@ def write_table(
 
 
 def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Store the schema; one already there gains new columns but may not change a type."""
     known = table_schema(spark, path)
+    merged = merged_schema(known, schema, path)
+    if merged != known:
+        files.write_text(spark, f"{path}/{_COLUMNS_FILE}", merged.json())
+
+
+def merged_schema(known: T.StructType | None, schema: T.StructType, path: str) -> T.StructType:
+    """A known schema gains new columns but may not change a type."""
     if known is None:
-        merged = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    else:
-        merged = T.StructType(list(known.fields))
-        for f in schema:
-            if f.name not in known.names:
-                merged.add(f.name, f.dataType, True)
-            elif known[f.name].dataType != f.dataType:
-                raise ValueError(
-                    f"column {f.name} of {path} is {known[f.name].dataType.simpleString()}, new rows "
-                    f"have {f.dataType.simpleString()}: rebuild from all files"
-                )
-        if merged == known:
-            return
-    files.write_text(spark, f"{path}/{_COLUMNS_FILE}", merged.json())
+        return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+    merged = T.StructType(list(known.fields))
+    for f in schema:
+        if f.name not in known.names:
+            merged.add(f.name, f.dataType, True)
+        elif known[f.name].dataType != f.dataType:
+            raise ValueError(
+                f"column {f.name} of {path} is {known[f.name].dataType.simpleString()}, new rows "
+                f"have {f.dataType.simpleString()}: rebuild from all files"
+            )
+    return merged
+
+
+def write_parts(df: DataFrame, root: str, name: str, build: str, partition_by: Sequence[str], **how) -> tuple[dict[str, Part], dict]:
+    """The rows as new partition folders of a table of a manifest that is yet to be written; also what was measured."""
+    path = table_path(root, name)
+    measured = write_table(df, path, partition_by, build=build, **how)
+    found = partition_folders(df.sparkSession, path, "/".join([*(f"{c}=*" for c in partition_by), f"{BUILD}={build}"]))
+    return {f.rpartition("/")[0]: Part(build) for f in found}, measured
+
+
+def read_parts(spark: SparkSession, root: str, name: str, table: Table, parts: Iterable[str] | None = None) -> DataFrame:
+    """Scan of the partitions of a table, or of some of them, with the columns in stored order."""
+    return _scan_parts(spark, root, name, table, table.parts if parts is None else parts).select(*_columns(table.schema))
+
+
+def _scan_parts(spark: SparkSession, root: str, name: str, table: Table, parts: Iterable[str]) -> DataFrame:
+    path = table_path(root, name)
+    folders = [f"{files.literal_path(path)}/{table.folder(p)}" for p in parts]
+    if not folders:
+        return spark.createDataFrame([], table.schema)
+    schema = T.StructType([*table.schema.fields, T.StructField(BUILD, T.StringType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def sealed(spark: SparkSession, root: str, name: str, table: Table, parts: Iterable[str]) -> dict[str, Part]:
+    """The partitions with the length, rows and a digest of the rows of each of their files.
+
+    One scan; the driver gets a row for each file.
+    """
+    parts = list(parts)
+    lengths = {p: _lengths(spark, root, name, table, p) for p in parts}
+    out = {p: {} for p in parts}
+    if parts:
+        of_row = F.xxhash64(*_columns(table.schema)).bitwiseAND(F.lit((1 << 31) - 1))
+        scan = _scan_parts(spark, root, name, table, parts).groupBy(F.col("_metadata.file_path").alias("path"))
+        of_folder = {table.folder(p): p for p in parts}
+        depth = parts[0].count("/") + 2
+        for r in scan.agg(F.count(F.lit(1)).alias("rows"), F.sum(of_row).alias("digest")).collect():
+            *folders, file = unquote(r["path"]).split("/")
+            part = of_folder["/".join(folders[-depth:])]
+            out[part][file] = (lengths[part].get(file, -1), r["rows"], r["digest"])
+    for p in parts:  # files without rows
+        for file, length in lengths[p].items():
+            out[p].setdefault(file, (length, 0, 0))
+    return {p: replace(table.parts[p], files=out[p]) for p in parts}
+
+
+def _lengths(spark: SparkSession, root: str, name: str, table: Table, part: str) -> dict[str, int]:
+    entries = files.list_folder(spark, f"{table_path(root, name)}/{table.folder(part)}")
+    return {e.name: e.length for e in entries if not e.name.startswith(("_", "."))}
+
+
+class Damaged(ValueError):
+    """The files of a table are not those that its manifest names."""
+
+
+def check_parts(spark: SparkSession, root: str, name: str, table: Table, parts: Iterable[str]) -> None:
+    """Raises ``Damaged`` unless the partitions' files are there, no others are, and their rows are as written."""
+    parts = [p for p in parts if table.parts[p].files is not None]
+    for p in parts:
+        if _lengths(spark, root, name, table, p) != {f: n for f, (n, _, _) in table.parts[p].files.items()}:
+            raise Damaged(f"{name}/{p}: files differ from the manifest")
+    found = sealed(spark, root, name, table, parts)
+    for p in parts:
+        if found[p].files != table.parts[p].files:
+            raise Damaged(f"{name}/{p}: rows differ from the manifest")
 
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The stored schema, or None for a folder or file written by others."""
+    found = resolve(spark, path)
+    if found is not None:
+        return found[0].tables[found[1]].schema
     stored = f"{path}/{_COLUMNS_FILE}"
     if not files.exists(spark, stored):
         return None
@@ -93,7 +173,14 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a table; columns come in stored order. A missing path raises FileNotFoundError."""
+    """Scan a table, as its manifest has it now if it has one; columns come in stored order.
+
+    A missing path raises FileNotFoundError.
+    """
+    found = resolve(spark, path)
+    if found is not None:
+        manifest, name = found
+        return read_parts(spark, manifest.root, name, manifest.tables[name])
     if not files.exists(spark, path):
         raise FileNotFoundError(f"no table at {path}")
     schema = table_schema(spark, path)

@@ -187,7 +187,7 @@ def test_unreadable_mart_falls_back(spark, at, tmp_path):
 def test_mart_with_a_broken_file_falls_back(spark, at, tmp_path):
     sample_runs(spark).write.parquet(at("lake"))
     build_marts(spark, at("lake"), at("marts"))
-    assert (tmp_path / "marts" / SUMMARY / "_columns.json").exists()
+    assert (tmp_path / "marts" / "_manifests").exists()
     for path in (tmp_path / "marts" / SUMMARY).rglob("*.parquet"):
         (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
         path.write_text("not parquet")
