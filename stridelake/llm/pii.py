@@ -9,7 +9,7 @@ wherever it stands: it is generalised to its first ``KEPT`` letters if what begi
 
 Copies of a text count once. n_ct and n_c come from the surroundings of the entities alone. So does a lower bound of
 n_t, which leaves the terms that stand beside few entities; they are counted in all texts. The scan for them
-looks words up in a bitmap of 2^23 bits, whatever their number; what it lets through by chance goes in the join.
+looks words up in a bitmap of 2^26 bits, whatever their number; what it lets through by chance goes in the join.
 """
 
 from __future__ import annotations
@@ -34,10 +34,9 @@ KEPT = 3
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
-_BITS = 23
+_BITS = 26
 _KNOWN_WORDS = 1 << 18
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
-_PLACES = "array<struct<start:int,end:int>>"
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CHAIN = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3,}+")
@@ -147,38 +146,54 @@ def _by_form(text: Column) -> Column:
     return of_batches(text)
 
 
-def _places(text: Column, bitmap) -> Column:
-    """Terms that may be among those of the bitmap, with their places."""
-
-    @F.pandas_udf(f"array<struct<term:string,places:{_PLACES}>>")
-    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bits, known = bitmap.value, {}
-
-        def may_be(word: str) -> bool:
-            if word not in known:
-                if len(known) == _KNOWN_WORDS:
-                    known.clear()
-                at = zlib.crc32(word.lower().encode()) & ((1 << _BITS) - 1)
-                known[word] = bool(int(bits[at >> 6]) >> (at & 63) & 1)
-            return known[word]
-
-        def of_text(text: str | None) -> list[dict]:
-            if not text or not any(map(may_be, set(_TERM.findall(text)))):
-                return []
-            found: dict[str, list] = {}
-            for start, end, term in _terms(text, base_spans(text)):
-                if may_be(term):
-                    found.setdefault(term, []).append({"start": start, "end": end})
-            return [{"term": t, "places": p} for t, p in found.items()]
+class _Finder:
+    """Places of the words whose terms may be among those of the bitmap."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.seen, self.hits = bits, set(), set()
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.seen) > _KNOWN_WORDS:
+            self.seen, self.hits = set(), set()
+        for word in words - self.seen:
+            at = zlib.crc32(word.lower().encode()) & ((1 << _BITS) - 1)
+            if int(self.bits[at >> 6]) >> (at & 63) & 1:
+                self.hits.add(word)
+        self.seen |= words
+
+    def find(self, text: str | None) -> tuple[list[str], list[int], list[int]]:
+        """Parallel lists: term, start, end."""
+        words = set(_TERM.findall(text or ""))
+        self._learn(words)
+        wanted = words & self.hits
+        terms, starts, ends = [], [], []
+        if wanted:
+            spans, k, reach = base_spans(text), 0, 0
+            for m in _TERM.finditer(text):
+                if m[0] in wanted:
+                    start, end = m.span()
+                    while k < len(spans) and spans[k][1] < end:
+                        reach = max(reach, spans[k][2])
+                        k += 1
+                    if start >= reach:
+                        terms.append(m[0].lower())
+                        starts.append(start)
+                        ends.append(end)
+        return terms, starts, ends
+
 
+def _places(text: Column, bitmap) -> Column:
+    @F.pandas_udf("term array<string>, start array<int>, end array<int>")
+    def of_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        find = _Finder(bitmap.value).find
         for texts in slices(batches):
-            yield pd.Series([of_text(t) for t in texts], dtype=object)
+            yield pd.DataFrame([find(t) for t in texts], columns=["term", "start", "end"])
 
     return of_batches(text)
 
 
 def _bitmap(terms: DataFrame) -> np.ndarray:
-    """One bit for each value of the terms' hashes: 2^17 numbers, whatever the number of terms."""
+    """One bit for each value of the terms' hashes: 2^20 numbers, whatever the number of terms."""
     at = F.crc32(F.col("term").cast("binary")).bitwiseAND(F.lit((1 << _BITS) - 1))
     bit = terms.select(at.alias("at")).selectExpr(
         "CAST(shiftright(at, 6) AS INT) AS word", "shiftleft(1L, CAST(at & 63 AS INT)) AS bit"
@@ -206,7 +221,7 @@ def _key(text: Column) -> Column:
 
 
 def _disclosing(docs: DataFrame, found: DataFrame, support: int, disclosed: float) -> tuple[DataFrame, DataFrame] | None:
-    """Rows (term, put) of the terms to take out, and (key, term, places) of where they may stand."""
+    """Rows (term, put) of the terms to take out, and (key, term, start, end) of where they may stand."""
     both = found.select("key", F.explode(F.arrays_zip("entities", "terms")).alias("x"))
     near = saved(both.select("key", "x.entities", "x.terms").toDF("key", "entity", "term").distinct(), "pii-near")
     n_texts = found.where(F.col("key").isNotNull()).select("key").distinct().count()
@@ -218,9 +233,10 @@ def _disclosing(docs: DataFrame, found: DataFrame, support: int, disclosed: floa
     if pairs.isEmpty():
         return None
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(pairs.select("term")))
-    places = docs.select(_key(F.col("text")).alias("key"), F.explode(_places(F.col("text"), bitmap)).alias("x"))
-    places = saved(places.select("key", "x.term", "x.places").distinct(), "pii-places")
-    of_term = places.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    places = docs.select(_key(F.col("text")).alias("key"), _places(F.col("text"), bitmap).alias("x"))
+    places = places.select("key", F.explode(F.arrays_zip("x.term", "x.start", "x.end")).alias("x"))
+    places = saved(places.select("key", "x.*").distinct(), "pii-places")  # copies are at the same places
+    of_term = _texts_with(places, "term").withColumnRenamed("n", "n_t")
     pairs = pairs.join(of_term, "term").where(_tells(n_texts, "n_ct", "n_c", "n_t", disclosed))
     # What begins like the term stands in no fewer texts than those counted here, so it tells no more than this.
     of_general = _texts_with(near, "general").withColumnRenamed("n", "n_g")
@@ -241,8 +257,8 @@ def _spans(docs: DataFrame, support: int, disclosed: float) -> tuple[DataFrame,
         none = f"key binary, marks {_MARKS}"
         return found, docs.sparkSession.createDataFrame([], none)
     terms, places = disclosing
-    marks = places.join(terms, "term").select("key", "put", F.explode("places").alias("p"))
-    mark = F.struct(F.lit(TERM).alias("kind"), F.col("p.start").alias("start"), F.col("p.end").alias("end"), "put")
+    mark = F.struct(F.lit(TERM).alias("kind"), "start", "end", "put")
+    marks = places.join(terms, "term")
     return found, saved(marks.groupBy("key").agg(F.sort_array(F.collect_list(mark)).alias("marks")), "pii-marks")
 
 
