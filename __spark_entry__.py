@@ -7,6 +7,7 @@ sees ``events`` or ``lineitem`` as samples (``stridelake.proxies``); all rows ta
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 from collections.abc import Callable
@@ -17,7 +18,17 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stridelake.exports import FIRST_WAVE, LATE_WAVE, arrive, csv_folder, once, plain_lake, write_csv_files
+from stridelake.exports import (
+    FIRST_WAVE,
+    LATE_WAVE,
+    arrive,
+    arrive_wrong,
+    csv_folder,
+    once,
+    plain_lake,
+    write_csv_files,
+    write_ghost_files,
+)
 from stridelake.functions.columns import day, magnitude
 from stridelake.functions.labels import ACTIVITY_LABELS, WRIST_LABELS, label, label_codes
 from stridelake.operators import figures, marts
@@ -28,14 +39,20 @@ from stridelake.operators.selection import (
 )
 from stridelake.plans.batch import run_batch
 from stridelake.plans.build import build_marts, publish_marts
+from stridelake.plans.cache import ResultCache
 from stridelake.plans.ingest import ingest
 from stridelake.plans.load import load_activity_counts, load_summary, stored_mart
 from stridelake.plans.report import CODE_COLUMNS, report
 from stridelake.plans.serve import json_rows, latest_stored_summary, latest_summary, query, rows_as_maps, write_json
 from stridelake.proxies import runs_from_events, runs_from_lineitem
-from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, SUMMARY, WRIST_COUNTS
+from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, ROLLUP, SUMMARY, WRIST_COUNTS
 from stridelake.session import scratch_path
+from stridelake.sources.files import delete
 from stridelake.sources.lake import read_lake, register_runs
+from stridelake.sources.manifest import latest_manifest
+from stridelake.sources.sample import generated_runs, sample_runs
+from stridelake.sources.tables import read_parts
+from stridelake.streaming.compaction import compact
 from stridelake.streaming.incremental import run_incremental
 
 try:
@@ -193,6 +210,125 @@ def _old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_mart(spark, SUMMARY, mart_dir)
 
 
+def _corrected(compacting: bool = False) -> Query:
+    """Wrong rows come first, in files under names of right ones and under names of their own. The former are then
+    rewritten, the latter deleted, between runs, and the late wave comes as well."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def make(mart_dir: str) -> None:
+            raw, lake, checkpoint = (scratch_path(spark, p) for p in ("fixed-waves", "fixed-lake", "fixed-checkpoint"))
+            ghosts, more, first, late = (scratch_path(spark, p) for p in ("ghosts", "more-ghosts", "first", "late"))
+            for folder in (ghosts, more):
+                write_ghost_files(spark, sf_dir, folder)
+            write_csv_files(spark, sf_dir, first, FIRST_WAVE)
+            write_csv_files(spark, sf_dir, late, LATE_WAVE)
+            gone = arrive_wrong(spark, ghosts, first, raw) + arrive_wrong(spark, more, scratch_path(spark, "none"), raw)
+            run_incremental(spark, raw, lake, mart_dir, checkpoint)
+            for path in gone:
+                delete(spark, path)
+            arrive(spark, first, raw)
+            run_incremental(spark, raw, lake, mart_dir, checkpoint)
+            arrive(spark, late, raw)
+            run_incremental(spark, raw, lake, mart_dir, checkpoint)
+            if compacting:
+                compact(spark, lake, mart_dir, more_than=1)
+                build_marts(spark, lake, mart_dir)
+
+        label = "fixed-marts-compacted" if compacting else "fixed-marts"
+        return stored_mart(spark, SUMMARY, once(spark, sf_dir, label, make))
+
+    return run
+
+
+def _deleted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of an incremental run after files with rows of other users and codes were deleted again."""
+    mart_dir = scratch_path(spark, "deleted-marts")
+    raw, lake, checkpoint, ghosts = (scratch_path(spark, p) for p in ("deleted", "deleted-lake", "deleted-checkpoint", "ghosts"))
+    write_csv_files(spark, sf_dir, raw, (*FIRST_WAVE, *LATE_WAVE))
+    write_ghost_files(spark, sf_dir, ghosts)
+    gone = arrive_wrong(spark, ghosts, scratch_path(spark, "none"), raw)
+    run_incremental(spark, raw, lake, mart_dir, checkpoint)
+    for path in gone:
+        delete(spark, path)
+    run_incremental(spark, raw, lake, mart_dir, checkpoint)
+    return stored_mart(spark, ACTIVITY_COUNTS, mart_dir)
+
+
+def _one_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples in roll-up and marts, for a reader from before a rebuild with more samples and for one from after it."""
+    lake, mart_dir = (scratch_path(spark, p) for p in ("growing-lake", "growing-marts"))
+    runs = runs_from_events(spark, sf_dir, extra=[F.col("event_type")])
+    runs.where("event_type <> 'error'").write.parquet(lake)
+    build_marts(spark, lake, mart_dir)
+    before = latest_manifest(spark, mart_dir)
+    runs.where("event_type = 'error'").write.mode("append").parquet(lake)
+    build_marts(spark, lake, mart_dir)
+    found = []
+    for state, manifest in (("before", before), ("after", latest_manifest(spark, mart_dir))):
+        rolled = read_parts(spark, mart_dir, ROLLUP, manifest.tables[ROLLUP]).select("n")
+        tables = {ROLLUP: rolled}
+        for name, measure in ((SUMMARY, "samples"), (ACTIVITY_COUNTS, "cnt"), (WRIST_COUNTS, "cnt")):
+            tables[name] = stored_mart(spark, name, mart_dir, manifest=manifest).select(F.col(measure).alias("n"))
+        for name, counted in tables.items():
+            total = counted.agg(F.sum("n").cast("bigint").alias("samples"))
+            found.append(total.select(F.lit(state).alias("state"), F.lit(name).alias("mart"), "samples"))
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+def _broken_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart that has lost a file: the summary comes from the lake."""
+    mart_dir, lake = scratch_path(spark, "broken-marts"), plain_lake(spark, sf_dir)
+    build_marts(spark, lake, mart_dir)
+    delete(spark, sorted(stored_mart(spark, SUMMARY, mart_dir).inputFiles())[0])
+    return load_summary(spark, mart_dir, lake)
+
+
+def _cached_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of two loads: its rows are held, nothing is scanned."""
+    cache = ResultCache(max_rows=10_000_000)
+    load_summary(spark, _mart_dir(spark, sf_dir), cache=cache)
+    return load_summary(spark, _mart_dir(spark, sf_dir), cache=cache)
+
+
+def _no_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without CSV files nothing is written, and the lake stays."""
+    lake = _lake_from_csv(spark, sf_dir)
+    written = ingest(spark, scratch_path(spark, "no-files"), lake)
+    return read_lake(spark, lake).agg(F.lit(written).cast("bigint").alias("rows_written"), F.count(F.lit(1)).alias("rows_in_lake"))
+
+
+def _missing_lake_raises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build without its lake fails, and the marts stay."""
+    mart_dir = _mart_dir(spark, sf_dir)
+    try:
+        build_marts(spark, scratch_path(spark, "no-lake"), mart_dir)
+        raised = False
+    except FileNotFoundError:
+        raised = True
+    samples = F.sum("samples").cast("bigint").alias("samples")
+    return stored_mart(spark, SUMMARY, mart_dir).agg(F.lit(raised).alias("raised"), samples)
+
+
+def _sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The literal sample beside the events."""
+    runs = runs_from_events(spark, sf_dir)
+    return marts.daily_activity_counts(sample_runs(spark).unionByName(runs))
+
+
+def _generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many generated samples as there are events, for as many users."""
+    size = runs_from_events(spark, sf_dir).agg(F.count(F.lit(1)), F.count_distinct("username")).first()
+    runs = generated_runs(spark, size[0], size[1], days=30)
+    of_runs = runs.agg(F.count(F.lit(1)).alias("samples"), F.min(day(runs)).alias("first_date"), F.max(day(runs)).alias("last_date"))
+    return of_runs.withColumn("users", F.lit(size[1]).cast("bigint"))
+
+
+def _mart_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _mart_catalog(spark, sf_dir)
+    described = spark.sql(f"DESCRIBE stridelake_marts.{SUMMARY}").where("NOT startswith(col_name, '#')")
+    return described.where(F.col("col_name") != EVENT_MONTH).select("col_name", "data_type").distinct()
+
+
 def _many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events in more than 500 CSV files of two headers."""
     raw = scratch_path(spark, "many-files")
@@ -325,6 +461,17 @@ def base_queries() -> dict[str, Query]:
         "incremental_marts": _incremental(SUMMARY),
         "incremental_activity_counts": _incremental(ACTIVITY_COUNTS),
         "incremental_old_files": _old_files,
+        "incremental_rewritten": _corrected(),
+        "incremental_deleted": _deleted_files,
+        "incremental_compacted": _corrected(compacting=True),
+        "marts_of_one_instant": _one_instant,
+        "load_broken_mart": _broken_mart,
+        "load_cached_summary": _cached_summary,
+        "ingest_no_files": _no_csv_files,
+        "build_without_lake": _missing_lake_raises,
+        "sample_rows": _sample_rows,
+        "generated_rows": _generated_rows,
+        "mart_columns": _mart_columns,
         "csv_ingest_many_files": _many_files,
         "slash_dates": _slash_dates,
         "report_users": _report_table("users"),
@@ -565,6 +712,32 @@ WITH {_RUNS},{_CSV_RUNS}
         "incremental_marts": csv_summary,
         "incremental_activity_counts": activity_counts,
         "incremental_old_files": csv_summary,
+        "incremental_rewritten": csv_summary,
+        "incremental_deleted": activity_counts,
+        "incremental_compacted": csv_summary,
+        "marts_of_one_instant": f"""
+WITH states AS (
+  SELECT 'before' AS state, count(*) AS samples FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT 'after', count(*) FROM events)
+  SELECT state, mart, samples
+  FROM states, (SELECT unnest(['{ROLLUP}', '{SUMMARY}', '{ACTIVITY_COUNTS}', '{WRIST_COUNTS}']) AS mart)""",
+        "load_broken_mart": fallback,
+        "load_cached_summary": whole_summary,
+        "ingest_no_files": "SELECT CAST(0 AS BIGINT) AS rows_written, count(*) AS rows_in_lake FROM events",
+        "build_without_lake": "SELECT true AS raised, count(*) AS samples FROM events",
+        "sample_rows": _on_counts(
+            """
+  SELECT * FROM counts UNION ALL
+  SELECT CAST(date AS DATE), 'viktor', CAST(activity AS BIGINT), CAST(1 AS BIGINT)
+  FROM (VALUES ('2017-07-01', 0), ('2017-07-01', 1), ('2017-07-02', 0), ('2017-07-03', 1)) AS t(date, activity)"""
+        ),
+        "generated_rows": """
+  SELECT count(*) AS samples, DATE '2017-06-30' AS first_date, DATE '2017-07-29' AS last_date,
+         count(DISTINCT user_id) AS users FROM events""",
+        "mart_columns": """
+  SELECT unnest(['date', 'username', 'top_activity', 'top_wrist', 'samples', 'avg_accel_magnitude',
+                 'max_accel_magnitude', 'avg_gyro_x', 'avg_gyro_y', 'avg_gyro_z']) AS col_name,
+         unnest(['date', 'string', 'bigint', 'bigint', 'bigint', 'double', 'double', 'double', 'double', 'double']) AS data_type""",
         "csv_ingest_many_files": samples("event_id, username, activity"),
         "slash_dates": activity_counts,
         "report_users": _on_summary("SELECT DISTINCT username FROM summary WHERE username IS NOT NULL"),

@@ -47,6 +47,13 @@ def write_csv_files(spark: SparkSession, sf_dir: str, path: str, layouts: tuple[
         rows.write.mode("append").csv(path, header=True, quote='"', escape='"')
 
 
+def write_ghost_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Files of the first layout whose rows should not be there: every event under another user and code."""
+    ghosts = _runs_with_extras(spark, sf_dir).withColumn("username", F.concat(F.lit("ghost_"), "username"))
+    ghosts = ghosts.withColumn("activity", F.lit(7).cast("bigint")).select(*_LAYOUTS["views"])
+    ghosts.write.csv(path, header=True, quote='"', escape='"')
+
+
 def plain_lake(spark: SparkSession, sf_dir: str) -> str:
     """The samples as a plain Parquet folder, as other tools would leave it."""
     return once(spark, sf_dir, "lake", lambda path: runs_from_events(spark, sf_dir).write.parquet(path))
@@ -70,12 +77,29 @@ def _runs_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arrive(spark: SparkSession, came: str, folder: str, days_old: int = 0) -> None:
     """Move CSV files into ``folder``, their modification time so many days back."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
+    path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(folder))
     for file in list_csv_files(spark, came):
-        target = path(f"{folder}/{file.name}")
-        fs.rename(path(file.path), target)
-        when = fs.getFileStatus(target).getModificationTime() - days_old * 86_400_000
-        fs.setTimes(target, when, -1)
+        _put(fs, path(file.path), path(f"{folder}/{file.name}"), days_old)
+
+
+def _put(fs, source, target, days_old: int) -> None:
+    fs.delete(target, False)
+    fs.rename(source, target)
+    when = fs.getFileStatus(target).getModificationTime() - days_old * 86_400_000
+    fs.setTimes(target, when, -1)
+
+
+def arrive_wrong(spark: SparkSession, wrong: str, right: str, folder: str) -> list[str]:
+    """Files of ``wrong`` take the names of those in ``right`` for as long as there are some, else their own, and
+    move to ``folder``, dated a day back. Returns the paths of those with names of their own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [file.name for file in list_csv_files(spark, right)]
+    own = []
+    for k, file in enumerate(list_csv_files(spark, wrong)):
+        name = names[k] if k < len(names) else file.name
+        own += [] if k < len(names) else [f"{folder}/{name}"]
+        _put(fs, path(file.path), path(f"{folder}/{name}"), 1)
+    return own

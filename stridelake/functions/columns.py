@@ -43,12 +43,13 @@ def parse_day(name: str, on_bad_date: str = "error") -> Column:
     if on_bad_date not in ("error", "null"):
         raise ValueError(f"on_bad_date must be 'error' or 'null', not {on_bad_date!r}")
     text = sql_name(name)
-    dashed = rf"regexp_replace({text}, r'^(\s*[+-]?\d+)/(\d+)/(\d+)', '$1-$2-$3')"
-    day = rf"CASE WHEN {dashed} RLIKE r'^\s*[+-]?\d+-\d+-\d' THEN try_cast({dashed} AS DATE) END"
+    # One pattern over the text, for both separators; the cast reads what stands before a blank or T.
+    found = rf"{text} RLIKE r'^\s*[+-]?\d+([-/])\d+\1\d'"
+    day = f"CASE WHEN {found} THEN try_cast(translate({text}, '/', '-') AS DATE) END"
     if on_bad_date == "null":
         return F.expr(day)
     failure = f"CAST(raise_error(concat('unreadable date: ', {text})) AS DATE)"
-    return F.expr(f"CASE WHEN {text} IS NOT NULL AND {day} IS NULL THEN {failure} ELSE {day} END")
+    return F.expr(f"coalesce({day}, CASE WHEN {text} IS NOT NULL THEN {failure} END)")
 
 
 def day(runs: DataFrame, on_bad_date: str = "error") -> Column:
