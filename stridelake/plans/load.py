@@ -13,10 +13,9 @@ from stridelake.operators.marts import daily_activity_counts, daily_wrist_counts
 from stridelake.operators.selection import select_rows
 from stridelake.plans.cache import ResultCache
 from stridelake.schema import ACTIVITY_COUNTS, EVENT_MONTH, MART_SCHEMAS, NO_VALUE, SUMMARY, WRIST_COUNTS
-from stridelake.sources.files import list_folder
 from stridelake.sources.lake import read_lake
 from stridelake.sources.manifest import Manifest, latest_manifest, table_path, value_of
-from stridelake.sources.tables import check_footers, check_parts, read_parts, read_table
+from stridelake.sources.tables import check_footers, check_parts, listed_parts, read_parts, read_table
 
 log = logging.getLogger(__name__)
 
@@ -133,10 +132,9 @@ def check_mart(
         return
     table = manifest.tables[name]
     seen = {}
-    for part in _months(manifest, name, start, end):
-        folder = table.folder(part)
-        there = tuple(sorted((e.name, e.length, e.modified) for e in list_folder(spark, f"{path}/{folder}")))
-        seen[part] = (spark.sparkContext.applicationId, path, folder, there)
+    for part, found in listed_parts(spark, mart_dir, name, table, _months(manifest, name, start, end)).items():
+        there = tuple(sorted((e.name, e.length, e.modified) for e in found))
+        seen[part] = (spark.sparkContext.applicationId, path, table.folder(part), there)
     unknown = [p for p, key in seen.items() if key not in _whole]
     check_parts(spark, mart_dir, name, table, unknown)
     _whole.update(seen[p] for p in unknown)

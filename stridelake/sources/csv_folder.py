@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.functions.columns import quoted
+from stridelake.functions.columns import quoted, sql_name
+from stridelake.sources.csv_records import records_of
 from stridelake.sources.files import literal_path, start_reader
 
 MALFORMED = "__malformed__"
 TOO_LONG = "__too_long__"
+FILE_PATH = "__file_path__"
 
 
 @dataclass(frozen=True)
@@ -45,9 +47,9 @@ def read_csv_files(
 ) -> DataFrame:
     """All rows of the files as text columns, in first-seen column order, plus ``TOO_LONG``.
 
-    ``multi_line`` says whether quoted values may hold line breaks. Files read that way
-    cannot be split over tasks, so by default the lines are checked first (one scan of the
-    text) and only the files that need it are read whole. ``False`` skips the check.
+    ``multi_line`` says whether quoted values may hold line breaks. By default the lines are checked
+    first (one scan of the text); ``False`` skips the check. The files that need it are cut into records range by
+    range (``csv_records``), so they take as many tasks as others.
 
     If the files are all there is in ``folder``, scans of all of them name the folder alone,
     which is listed once instead of looking up every path. ``file_column`` names a column for the file's name.
@@ -191,16 +193,21 @@ def _listed(metadata_path: str) -> str:
 
 def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None, file_column: str | None) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*group.columns, MALFORMED)])
-    reader = spark.read.format("csv").schema(schema).options(
-        header=True,
-        quote='"',
-        escape='"',
-        multiLine=group.multi_line,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=MALFORMED,
-        maxColumns=max(20480, 2 * len(group.columns)),
-    )
-    rows = _scan(reader, group.paths, folder)
+    options = {
+        "quote": '"',
+        "escape": '"',
+        "multiLine": group.multi_line,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": MALFORMED,
+        "maxColumns": max(20480, 2 * len(group.columns)),
+    }
+    if group.multi_line:
+        parsed = F.from_csv("record", ", ".join(f"{sql_name(n)} STRING" for n in schema.names), {k: str(v) for k, v in options.items()})
+        path, row = F.col("path").alias(FILE_PATH), parsed.alias("row")
+        rows, file_path = records_of(spark, group.paths).select(path, row).select(FILE_PATH, "row.*"), F.col(FILE_PATH)
+    else:
+        rows = _scan(spark.read.format("csv").schema(schema).options(header=True, **options), group.paths, folder)
+        file_path = F.col("_metadata.file_path")
     # Rows with too few fields are padded; rows with too many must not lose any.
     unquoted = F.regexp_replace(MALFORMED, '"[^"]*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","))) + 1
@@ -208,7 +215,7 @@ def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None, fil
     columns = [quoted(c) for c in group.columns]
     if file_column is not None:
         # Scan metadata has paths URL-encoded, where a plus stands for itself.
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
         columns.append(F.substring_index(path, "/", -1).alias(file_column))
     return rows.select(*columns, too_long.alias(TOO_LONG))
 

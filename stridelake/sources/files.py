@@ -43,7 +43,10 @@ def list_folder(spark: SparkSession, folder: str) -> list[Entry]:
     fs, jpath = _at(spark, folder)
     if not fs.exists(jpath):
         return []
-    statuses = fs.listStatus(jpath)
+    return _entries(spark, fs.listStatus(jpath))
+
+
+def _entries(spark: SparkSession, statuses) -> list[Entry]:
     # One call for the whole listing: asking the JVM entry by entry takes minutes at a
     # million files.
     text = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(statuses)
@@ -79,8 +82,13 @@ def is_flat(spark: SparkSession, folder: str) -> bool:
 
 
 def glob(spark: SparkSession, pattern: str) -> list[str]:
+    return [e.path for e in glob_entries(spark, pattern)]
+
+
+def glob_entries(spark: SparkSession, pattern: str) -> list[Entry]:
     fs, jpath = _at(spark, pattern)
-    return [status.getPath().toString() for status in fs.globStatus(jpath) or []]
+    statuses = fs.globStatus(jpath)
+    return _entries(spark, statuses) if statuses else []
 
 
 def literal_path(path: str) -> str:

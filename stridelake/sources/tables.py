@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from stridelake.functions.columns import quoted
 from stridelake.sources import files
+from stridelake.sources.files import Entry
 from stridelake.sources.manifest import BUILD, Part, Table, resolve, table_path
 
 _COLUMNS_FILE = "_columns.json"
@@ -123,7 +124,7 @@ def sealed(spark: SparkSession, root: str, name: str, table: Table, parts: Itera
     One scan; the driver gets a row for each file.
     """
     parts = list(parts)
-    lengths = {p: _lengths(spark, root, name, table, p) for p in parts}
+    lengths = {p: {e.name: e.length for e in found} for p, found in listed_parts(spark, root, name, table, parts).items()}
     out = {p: {} for p in parts}
     if parts:
         of_row = F.xxhash64(*_columns(table.schema)).bitwiseAND(F.lit((1 << 31) - 1))
@@ -140,9 +141,18 @@ def sealed(spark: SparkSession, root: str, name: str, table: Table, parts: Itera
     return {p: replace(table.parts[p], files=out[p]) for p in parts}
 
 
-def _lengths(spark: SparkSession, root: str, name: str, table: Table, part: str) -> dict[str, int]:
-    entries = files.list_folder(spark, f"{table_path(root, name)}/{table.folder(part)}")
-    return {e.name: e.length for e in entries if not e.name.startswith(("_", "."))}
+def listed_parts(spark: SparkSession, root: str, name: str, table: Table, parts: Iterable[str]) -> dict[str, list[Entry]]:
+    """The data files that there are in each partition's folder, by one listing of the table."""
+    of_folder = {table.folder(p): p for p in parts}
+    found: dict[str, list[Entry]] = {p: [] for p in of_folder.values()}
+    if found:
+        depth = next(iter(of_folder)).count("/") + 1
+        pattern = files.literal_path(table_path(root, name)) + "/*=*" * (depth - 1) + f"/{BUILD}=*/*"
+        for e in files.glob_entries(spark, pattern):
+            part = of_folder.get("/".join(e.path.split("/")[-1 - depth : -1]))
+            if part is not None and not e.name.startswith(("_", ".")):
+                found[part].append(e)
+    return found
 
 
 class Damaged(ValueError):
@@ -152,8 +162,8 @@ class Damaged(ValueError):
 def check_parts(spark: SparkSession, root: str, name: str, table: Table, parts: Iterable[str]) -> None:
     """Raises ``Damaged`` unless the partitions' files are there, no others are, and their rows are as written."""
     parts = [p for p in parts if table.parts[p].files is not None]
-    for p in parts:
-        if _lengths(spark, root, name, table, p) != {f: n for f, (n, _, _) in table.parts[p].files.items()}:
+    for p, there in listed_parts(spark, root, name, table, parts).items():
+        if {e.name: e.length for e in there} != {f: n for f, (n, _, _) in table.parts[p].files.items()}:
             raise Damaged(f"{name}/{p}: files differ from the manifest")
     found = sealed(spark, root, name, table, parts)
     for p in parts:
