@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from stridelake.functions.columns import quoted, sql_name
 from stridelake.sources.csv_records import records_of
-from stridelake.sources.files import literal_path, start_reader
+from stridelake.sources.files import files_over, literal_path, start_reader
 
 MALFORMED = "__malformed__"
 TOO_LONG = "__too_long__"
@@ -31,11 +31,15 @@ FILE_PATH = "__file_path__"
 
 @dataclass(frozen=True)
 class HeaderGroup:
-    """Files read together: same columns, same need for multi-line parsing."""
+    """Files read together: same columns, same need for multi-line parsing.
+
+    ``in_ranges``: values may hold line breaks, and Spark's multi-line reader won't do.
+    """
 
     columns: tuple[str, ...]
     multi_line: bool
     paths: tuple[str, ...]
+    in_ranges: bool = False
 
 
 def read_csv_files(
@@ -48,8 +52,9 @@ def read_csv_files(
     """All rows of the files as text columns, in first-seen column order, plus ``TOO_LONG``.
 
     ``multi_line`` says whether quoted values may hold line breaks. By default the lines are checked
-    first (one scan of the text); ``False`` skips the check. The files that need it are cut into records range by
-    range (``csv_records``), so they take as many tasks as others.
+    first (one scan of the text); ``False`` skips the check. Of the files that need it, those that one task would
+    read anyway go to Spark's multi-line reader; larger ones, and a few that it would misread, are cut into
+    records range by range (``csv_records``), in as many tasks as files without line breaks.
 
     If the files are all there is in ``folder``, scans of all of them name the folder alone,
     which is listed once instead of looking up every path. ``file_column`` names a column for the file's name.
@@ -74,12 +79,32 @@ def header_groups(
         whole = files_with_open_quotes(spark, paths, folder)
     else:
         whole = set(paths) if multi_line else set()
-    grouped: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    ranged = files_over(spark, sorted(whole), split_bytes(spark))
+    ranged |= files_with_carriage_returns(spark, sorted(whole - ranged))
+    grouped: dict[tuple[tuple[str, ...], bool, bool], list[str]] = {}
     for path in sorted(paths):
         if path not in headers:
             raise ValueError(f"{path} has no header line")
-        grouped.setdefault((column_names(headers[path]), path in whole), []).append(path)
-    return [HeaderGroup(columns, ml, tuple(members)) for (columns, ml), members in grouped.items()]
+        columns = column_names(headers[path])
+        # Of a single column, a blank line and a blank value look alike to Spark's multi-line reader.
+        in_ranges = path in ranged or path in whole and len(columns) == 1
+        grouped.setdefault((columns, path in whole, in_ranges), []).append(path)
+    return [HeaderGroup(c, multi, tuple(members), ranges) for (c, multi, ranges), members in grouped.items()]
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """What a scan gives to a task at most."""
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def files_with_carriage_returns(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Files in which Spark's multi-line reader, which knows one kind of line end a file, may take the wrong one."""
+    if not paths:
+        return set()
+    text = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths])
+    found = text.where(F.contains("value", F.lit("\r"))).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return {_listed(r["path"]) for r in found.collect()}
 
 
 def column_names(header: str) -> tuple[str, ...]:
@@ -201,12 +226,14 @@ def _read_group(spark: SparkSession, group: HeaderGroup, folder: str | None, fil
         "columnNameOfCorruptRecord": MALFORMED,
         "maxColumns": max(20480, 2 * len(group.columns)),
     }
-    if group.multi_line:
+    if group.in_ranges:
         parsed = F.from_csv("record", ", ".join(f"{sql_name(n)} STRING" for n in schema.names), {k: str(v) for k, v in options.items()})
         path, row = F.col("path").alias(FILE_PATH), parsed.alias("row")
         rows, file_path = records_of(spark, group.paths).select(path, row).select(FILE_PATH, "row.*"), F.col(FILE_PATH)
     else:
         rows = _scan(spark.read.format("csv").schema(schema).options(header=True, **options), group.paths, folder)
+        if group.multi_line:  # lines of blanks are no rows
+            rows = rows.where(f"{MALFORMED} IS NULL OR trim({MALFORMED}) <> ''")
         file_path = F.col("_metadata.file_path")
     # Rows with too few fields are padded; rows with too many must not lose any.
     unquoted = F.regexp_replace(MALFORMED, '"[^"]*"', "")

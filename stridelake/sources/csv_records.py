@@ -38,14 +38,23 @@ def _after(function: str, state: str) -> str:
 
 
 def lines_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Rows (path, range, line, value): ``line`` orders the lines of a range, ``range`` is where it begins."""
+    """Rows (path, range, line, value, end): ``line`` orders the lines of a range, ``range`` is where it begins.
+
+    A line ends with a line feed, a carriage return or both, which ``end`` has. The scan knows the first, which
+    also divides ranges; the others are found in what lies between.
+    """
     text = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths])
-    return text.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("range"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    ).withColumn("function", F.expr(_LINE_FUNCTION))
+    pieces = F.when(F.contains("value", F.lit("\r")), F.split("value", "\r", -1)).otherwise(F.array("value"))
+    text = text.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("range"), pieces.alias("pieces")
+    )
+    found = text.select("*", F.posexplode("pieces").alias("k", "value")).where("k = 0 OR k < size(pieces) - 1 OR value <> ''")
+    end = F.expr(
+        r"""CASE WHEN k = size(pieces) - 1 THEN '\n'
+                 WHEN k = size(pieces) - 2 AND element_at(pieces, -1) = '' THEN '\r\n' ELSE '\r' END"""
+    )
+    rows = found.select("path", "range", F.monotonically_increasing_id().alias("line"), "value", end.alias("end"))
+    return rows.withColumn("function", F.expr(_LINE_FUNCTION))
 
 
 _STEPS = f"""
@@ -77,7 +86,7 @@ def ranges_of(lines: DataFrame) -> DataFrame:
     found = lines.groupBy("path", "range").agg(
         F.sort_array(F.collect_list(step)).alias("steps"),
         F.max("line").alias("last_line"),
-        F.expr("min(CASE WHEN trim(translate(value, '\\uFEFF\\r', '')) <> '' THEN line END) AS first_filled"),
+        F.expr("min(CASE WHEN trim(translate(value, '\\uFEFF', '')) <> '' THEN line END) AS first_filled"),
     )
     found = _with_state(found.withColumn("function", F.expr(_STEPS)), "path", "range", "0").withColumnRenamed("state", "starts")
     found = found.withColumn("begins", F.expr(_BEGINS))
@@ -101,23 +110,24 @@ def records_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         "max(begin) OVER (PARTITION BY path, range) AS last_own",
         f"state = 0 AND {_after('function', 'state')} = 0 AS whole",
     )
-    # The record that a range ends with may go on in the next ones; it is called -1 there.
+    # The record that a range ends with may go on in the next ones; it has no line of its own here.
     known = known.selectExpr(
         "path",
         "value",
+        "end",
         "whole",
         "struct(range, line) AS place",
         "coalesce(own = header_line, false) AS header",
         "CASE WHEN own IS NULL THEN owner ELSE range END AS of_range",
-        "CASE WHEN own IS NULL OR own = last_own THEN -1 ELSE own END AS of_line",
+        "CASE WHEN own IS NULL OR own = last_own THEN NULL ELSE own END AS of_line",
     )
     single = known.where("whole AND NOT header").select("path", F.col("value").alias("record"))
     several = (
         known.where("NOT whole")
         .groupBy("path", "of_range", "of_line")
-        .agg(F.bool_or("header").alias("header"), F.sort_array(F.collect_list(F.struct("place", "value"))).alias("lines"))
+        .agg(F.bool_or("header").alias("header"), F.sort_array(F.collect_list(F.struct("place", "value", "end"))).alias("lines"))
         .where("NOT header")
-        .select("path", F.array_join("lines.value", "\n").alias("record"))
+        .select("path", F.array_join(F.transform("lines", lambda x: F.concat(x["value"], x["end"])), "").alias("record"))
+        .select("path", F.regexp_replace("record", r"(\r\n|\r|\n)\z", "").alias("record"))
     )
-    record = F.regexp_replace("record", r"\r\z", "")
-    return single.unionAll(several).select("path", record.alias("record")).where("trim(record) <> ''")
+    return single.unionAll(several).where("trim(record) <> ''")

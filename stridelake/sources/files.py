@@ -77,6 +77,13 @@ def list_csv_files(spark: SparkSession, raw_dir: str) -> list[Entry]:
     return sorted(files, key=lambda e: e.path)
 
 
+def files_over(spark: SparkSession, paths: Sequence[str], size: int) -> set[str]:
+    """Those of the files that are longer than ``size`` bytes."""
+    folders = {p.rpartition("/")[0] for p in paths}
+    lengths = {e.path: e.length for folder in folders for e in list_folder(spark, folder)}
+    return {p for p in paths if lengths[p] > size}
+
+
 def is_flat(spark: SparkSession, folder: str) -> bool:
     return not any(e.is_directory for e in list_folder(spark, folder))
 
