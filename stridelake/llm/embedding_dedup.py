@@ -2,8 +2,8 @@
 
 Equal vectors of one label are one point with a count. The points of a label are cut into shards of
 about ``shard_points``; a task builds the graph of one shard. Every pair of shards of a label is then
-one task: the points of each query the graph of the other, beams are widened until audits against
-brute force find ``recall`` of the links (``hnsw.near_points``), each link is verified in double
+one task: the points of each query the graph of the other, beams are widened until wider ones find nothing new
+and audits against brute force find ``recall`` of the links (``hnsw.near_points``), each link is verified in double
 precision, and a link found from one side counts for both. A task passes on counts and, of its links, only a
 spanning forest, at most one link for each point, so that dense groups of copies don't multiply what is
 shuffled. Components are united over these.
@@ -164,3 +164,23 @@ def embedding_groups(
 
 def op2_embedding_dedup(spark, sf_dir):
     return embedding_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (
+  SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION SELECT node, b FROM reached JOIN links ON other = a),
+roots AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
+counts AS (SELECT a AS node, count(*) AS n_links FROM links GROUP BY a)
+SELECT node AS vec_id, coalesce(n_links, 0) AS n_links, component_id, node = component_id AS kept
+FROM roots LEFT JOIN counts USING (node)
+"""

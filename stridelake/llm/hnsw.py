@@ -170,42 +170,36 @@ def near_points(graph: Graph, own: np.ndarray, queries: np.ndarray, threshold: f
     the graph's own points: a pair of a point with itself is neither returned nor audited, and a link found from
     one side holds for both.
 
-    The audit compares rows spread over all with all points: ``audit`` rows, and twice as many again and again until
-    they hold four times ``audit`` links; where links are so rare that this takes all rows, the comparison is the
-    result. It also compares ``audit`` rows that have links. While fewer than ``recall`` of the links of either
-    part are found, all rows are searched again with beams twice as wide, and where a beam as wide as the graph
-    doesn't do, all rows are compared.
+    All rows are searched with beams twice as wide again and again, until two things hold: the wider beams found less
+    than 1 - ``recall`` of new links, and of the links that a comparison with all points finds for some rows, ``recall``
+    are among them. These rows are spread over all (``audit``, and one in a hundred where that is more) or have links
+    (``audit``); each part must pass. Only where beams as wide as the graph don't do are all rows compared.
     """
     n, beam, loose = len(own), 32, threshold - 1e-5
     order = np.random.default_rng(11).permutation(len(queries))
-    true, done, size = np.full(len(queries), -1), 0, min(audit, len(queries))
-    exact = []
-    while True:
-        exact.append(_compared(own, queries, order[done:size], threshold, same))
-        true[order[done:size]] = np.bincount(exact[-1][0], minlength=len(queries))[order[done:size]]
-        done = size
-        if done == len(queries):
-            pairs = tuple(map(np.concatenate, zip(*exact)))
-            return with_pairs(pairs, pairs[::-1], n) if same else pairs
-        if true[order[:done]].sum() >= 4 * audit:
-            break
-        size = min(2 * size, len(queries))
-    del exact
+    spread = order[: max(audit, len(queries) // 100)]
+    true = np.full(len(queries), -1)
+
+    def audited(part: np.ndarray, found: np.ndarray) -> bool:
+        new = part[true[part] < 0]
+        true[new] = np.bincount(_compared(own, queries, new, threshold, same)[0], minlength=len(queries))[new]
+        return found[part].sum() >= recall * true[part].sum()
+
+    pairs, before = None, -1
     while True:
-        pairs = _all_rows(graph, own, queries, threshold, loose, beam)
+        more = _all_rows(graph, own, queries, threshold, loose, min(beam, n))
         if same:
-            pairs = tuple(x[pairs[0] != pairs[1]] for x in pairs)
-            pairs = with_pairs(pairs, pairs[::-1], n)
+            more = tuple(x[more[0] != more[1]] for x in more)
+            more = with_pairs(more, more[::-1], n)
+        pairs = more if pairs is None else with_pairs(more, pairs, n)
         found = np.bincount(pairs[0], minlength=len(queries))
-        also = order[found[order] > 0][:audit]
-        new = also[true[also] < 0]
-        true[new] = np.bincount(_compared(own, queries, new, threshold, same)[0], minlength=len(queries))[new]
-        if all(found[part].sum() >= recall * true[part].sum() for part in (order[:done], also)):
+        settled = beam >= n or before >= recall * len(pairs[0])
+        if settled and audited(spread, found) and audited(order[found[order] > 0][:audit], found):
             return pairs
         if beam >= n:
             pairs = _compared(own, queries, np.arange(len(queries)), threshold, same)
             return with_pairs(pairs, pairs[::-1], n) if same else pairs
-        beam = min(2 * beam, n)
+        before, beam = len(pairs[0]), 2 * beam
 
 
 def with_pairs(pairs, more, n: int):

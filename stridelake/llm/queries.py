@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from stridelake.llm import chat, decontamination, hard_negatives, kd_shards
+from stridelake.llm import chat, decontamination, embedding_dedup, hard_negatives, kd_shards
 from stridelake.llm.bpe import op8_bpe_codec
-from stridelake.llm.embedding_dedup import op2_embedding_dedup
 from stridelake.llm.gru_toxicity import op5_toxicity_gru
 from stridelake.llm.language_svm import op3_language_svm
 from stridelake.llm.line_crf import op4_quality_crf
@@ -15,7 +14,7 @@ from stridelake.llm.simhash_dedup import op10_simhash_dedup
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
-    "op2_embedding_dedup": op2_embedding_dedup,
+    "op2_embedding_dedup": embedding_dedup.op2_embedding_dedup,
     "op3_language_svm": op3_language_svm,
     "op4_quality_crf": op4_quality_crf,
     "op5_toxicity_gru": op5_toxicity_gru,
@@ -31,7 +30,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_chat_format": chat.ORACLE,
+    "op2_embedding_dedup": embedding_dedup.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
-    "op11_pii": op11_pii,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }

@@ -1,5 +1,6 @@
 import numpy as np
 
+from stridelake.llm import hnsw
 from stridelake.llm.embedding_dedup import THRESHOLD, embedding_groups
 from stridelake.llm.hnsw import Graph, near_points, unit
 
@@ -57,6 +58,51 @@ def test_graph_finds_dense_groups(spark):
     assert len(rows) >= 0.99 * want.sum() and want[rows, points].all()
 
 
+class Counting:
+    def __init__(self, graph):
+        self.graph, self.rows = graph, 0
+
+    def search(self, queries, beam):
+        self.rows += len(queries)
+        return self.graph.search(queries, beam)
+
+
+def test_rare_links_come_from_the_graph(monkeypatch):
+    """Every row is searched in the graph, and few are compared with all points."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((3000, 32))
+    wide = unit(np.vstack([base, base[:20] + 0.05 * rng.standard_normal((20, 32))]))
+    graph, by = Graph.build(wide)
+    own, compared = wide[by], []
+    real = hnsw._compared
+    monkeypatch.setattr(hnsw, "_compared", lambda o, q, rows, *how: compared.append(len(rows)) or real(o, q, rows, *how))
+    counting = Counting(graph)
+    rows, points = near_points(counting, own, own, 0.98, 64, 0.99, same=True)
+    assert len(rows) == 40 and counting.rows >= 2 * len(own) and sum(compared) <= 2 * 64
+    other = unit(np.vstack([base[:500] + 0.01 * rng.standard_normal((500, 32)), rng.standard_normal((500, 32))]))
+    rows, points = near_points(Counting(graph), own, other, 0.98, 64, 0.99)
+    assert len(rows) >= 0.99 * (other @ own.T >= 0.98).sum()
+
+
+def test_links_over_shards_of_over_a_thousand_points(spark):
+    """Rare links, over several shards, as comparison finds them; each shard's graph is searched."""
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((4200, 24))
+    base = np.vstack([base, base[:60] + 0.03 * rng.standard_normal((60, 24)), base[:30] + 0.03 * rng.standard_normal((30, 24))])
+    wide = unit(base.astype(np.float32))
+    rows = [(i, e.tolist(), 0) for i, e in enumerate(base)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r["vec_id"]: r for r in embedding_groups(vectors, shard_points=1400).collect()}
+    near = wide @ wide.T >= THRESHOLD
+    np.fill_diagonal(near, False)
+    want = near.sum(axis=1)
+    assert want.sum() >= 200 and sum(got[i]["n_links"] for i in got) >= 0.99 * want.sum()
+    assert all(got[i]["n_links"] <= want[i] for i in got)
+    for i in range(30):
+        if near[i, 4200 + i] and near[i, 4260 + i] and got[i]["n_links"] == want[i]:
+            assert got[4200 + i]["component_id"] == got[4260 + i]["component_id"] == i and got[i]["kept"]
+
+
 class Forgetful:
     """A graph in which beams under 64 miss half of the points' links to others, always from one side."""
 
