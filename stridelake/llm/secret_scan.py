@@ -1,10 +1,11 @@
 """Secret scan: candidates by grammar, false positives removed by a random forest.
 
 Candidates are runs of at least sixteen token characters with a digit or mixed case, values assigned to a
-name that speaks of secrets, tokens in the form of a known issuer, and private key blocks. The forest looks at
-the candidate's length and characters, how usual its character transitions are, how much of it dictionary words
-cover, marks of paths and issuers, and the words beside it. Transitions and dictionary are counted over all
-documents; the forest is trained on labelled findings, a bounded sample of them, and not on doubtful ones.
+name that speaks of secrets, passwords in addresses, tokens in the form of a known issuer, and private key blocks.
+The forest looks at the candidate's length and characters, how usual its character transitions are, how much of it
+dictionary words cover, marks of paths, identifiers and issuers, and the words beside it. Transitions and dictionary
+are counted over all documents; the forest is trained on labelled findings, a bounded sample of them, and not on
+doubtful ones. ``findings`` has labelled findings of many kinds to learn from as well.
 """
 
 from __future__ import annotations
@@ -18,12 +19,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stridelake.llm.findings import stated_findings
 from stridelake.llm.shared import bounded, free_name, received, remainder, saved, sent, slices, table
 
 MOST = 2000
 SHARE = 1e-6
 THRESHOLD = 0.5
 CONTEXT = 60
+FAR = "x://"
+LONGEST_FINDING = 4096
 MASK = "[SECRET]"
 #: Names that speak of secrets.
 NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "access_key", "private_key",
@@ -36,13 +40,15 @@ _ISSUED = (
     r"|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}|hf_[A-Za-z0-9]{30,}|SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}"
     r"|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"
 )
+_BEGIN, _END = (re.compile(rf"-----{w} [A-Z ]{{0,40}}PRIVATE KEY(?: BLOCK)?-----") for w in ("BEGIN", "END"))
+_LOGIN = r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/@:\"'<>]{0,100}:(?P<login>[^\s/@\"'<>]{3,200})@"
 _CANDIDATE = re.compile(
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
-    rf"|(?P<issued>{_ISSUED})"
+    rf"(?P<issued>{_ISSUED})|{_LOGIN}"
     rf"|(?i:(?<![A-Za-z]){_NAMED}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?)(?P<value>[^\s\"']{{8,}})"
-    r"|(?P<run>[A-Za-z0-9+/_=-]{16,})",
-    re.DOTALL,
+    r"|(?P<run>[A-Za-z0-9+/_=-]{16,})"
 )
+_AT_LOGIN = re.compile(r"://[^\s/@:\"'<>]*:$")
+_UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
 _ASSIGNED = re.compile(rf"(?i)(?<![A-Za-z]){_NAMED}[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?$")
 _IS_ISSUED = re.compile(_ISSUED)
 _NUMBER = re.compile(r"[\d+/_=-]+$")
@@ -75,18 +81,51 @@ def _class_table() -> bytes:
 _TABLE = _class_table()
 
 
+def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """From each begin mark to the next end mark; every mark is looked at once."""
+    ends = _END.finditer(text)
+    end, done = next(ends, None), 0
+    for begin in _BEGIN.finditer(text):
+        while end is not None and end.start() < begin.end():
+            end = next(ends, None)
+        if end is None:
+            return
+        if begin.start() >= done:
+            done = end.end()
+            yield begin.start(), done
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans (start, end) of candidates, in order, none overlapping."""
-    out = []
-    for m in _CANDIDATE.finditer(text):
-        run = m["run"]
-        if run is None or any(c.isdigit() for c in run) or not (run[1:].islower() or run.isupper()):
-            out.append(m.span("value") if m["value"] is not None else m.span())
+    """Spans (start, end) of candidates, in order, none overlapping. Linear in the text."""
+    out, at = [], 0
+    for start, end in (*_key_blocks(text), (len(text), len(text))):
+        for m in _CANDIDATE.finditer(text, at, start):
+            run = m["run"]
+            if run is None or any(c.isdigit() for c in run) or not (run[1:].islower() or run.isupper()):
+                part = next((g for g in ("value", "login") if m[g] is not None), 0)
+                out.append(m.span(part))
+        if start < end:
+            out.append((start, end))
+        at = end
     return out
 
 
-def context(text: str, start: int, end: int) -> tuple[str, str, str]:
-    return text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT]
+def contexts(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Start, end, text before, candidate and text after of every candidate; ``FAR`` stands before the text of one
+    that is deep in an address, whose beginning is not in what is shown."""
+    done, inside = 0, False
+    for start, end in candidates(text):
+        between = text[done:start]
+        word = "" if between[-1:].isspace() else (between.split() or [""])[-1]
+        inside = "://" in word or (inside and len(word) == len(between))
+        before = text[max(0, start - CONTEXT) : start]
+        far = inside and "://" not in (before.split() or [""])[-1]
+        yield start, end, (FAR if far else "") + before, text[start:end], text[end : end + CONTEXT]
+        done = end
+
+
+def _in_address(before: str) -> bool:
+    return not before[-1:].isspace() and "://" in (before.split() or [""])[-1]
 
 
 def _of_words(candidate: str, words: set[str] | frozenset[str]) -> bool:
@@ -105,6 +144,8 @@ def rule(before: str, candidate: str, after: str, words: set[str] | frozenset[st
     """
     if candidate.startswith("-----BEGIN") or _IS_ISSUED.search(candidate):
         return 1
+    if _AT_LOGIN.search(before) and after[:1] == "@":
+        return 0 if _EMPTY.match(candidate) else 1
     if _ASSIGNED.search(before):
         if _EMPTY.match(candidate) or _URL.match(candidate) or _PATH.match(candidate):
             return 0
@@ -192,6 +233,7 @@ def corpus(docs: DataFrame, share: float = SHARE) -> Corpus:
 FEATURES = (
     "length", "distinct", "entropy", "digits", "upper", "lower", "marks", "hex", "switches", "usual", "rarest", "covered",
     "slashes", "dots", "path_before", "url", "assigned", "named", "quoted", "word_before", "word_after", "line_start", "issued",
+    "login", "uuid", "hash_named", "path", "encoded", "piece", "separators",
 )
 
 
@@ -209,14 +251,17 @@ def features(about: Corpus, before: str, candidate: str, after: str) -> list[flo
     tail = before.rstrip(" \t\"'")
     named = any(name in "".join(left[-3:]).lower() for name in NAMES)
     return [
-        min(n, 400), len(count), float(-(count * np.log2(count)).sum()),
+        float(np.log2(n)), len(count), float(-(count * np.log2(count)).sum()),
         sum(map(str.isdigit, candidate)) / n, sum(map(str.isupper, candidate)) / n, sum(map(str.islower, candidate)) / n,
         float((groups == 2).mean()), float(all(c in "0123456789abcdefABCDEF" for c in candidate)),
         float((groups[1:] != groups[:-1]).mean()) if n > 1 else 0.0, float(moves.mean()), float(moves.min()), covered / n,
-        candidate.count("/"), candidate.count("."), float(before[-1:] in ("/", "\\", ".")), float("://" in before[-12:] or "://" in candidate),
+        candidate.count("/"), candidate.count("."), float(before[-1:] in ("/", "\\", ".")), float(_in_address(before) or "://" in candidate),
         float(tail[-1:] in ("=", ":")), float(named), float(before[-1:] in ("'", '"') and after[:1] == before[-1:]),
         float(last in about.words), float(first in about.words), float(not before or before.endswith("\n")),
         float(candidate.startswith("-----BEGIN") or bool(_IS_ISSUED.search(candidate))),
+        float(after[:1] == "@" and bool(_AT_LOGIN.search(before))), float(bool(_UUID.match(candidate))),
+        float(bool(_HASH_NAME.search(before))), float(bool(_PATH.match(candidate))), float("base64," in before[-12:]),
+        len(candidate) / max(1, len(_PIECES.findall(candidate))), sum(map(candidate.count, "-_/")) / n,
     ]
 
 
@@ -288,8 +333,11 @@ class Scanner:
 
     def scan(self, texts: list[str | None]) -> list[list[tuple[int, int, float]]]:
         """Of each text its candidates: start, end (code points) and the share of trees that call it a secret."""
-        spans = [candidates(t) if t else [] for t in texts]
-        rows = [features(self.about, *context(t, a, b)) for t, s in zip(texts, spans) for a, b in s]
+        spans, rows = [], []
+        for text in texts:
+            found = list(contexts(text)) if text else []
+            spans.append([(a, b) for a, b, *_ in found])
+            rows += [features(self.about, *around) for _, _, *around in found]
         score = iter(self.forest.predict(np.array(rows)).tolist() if rows else [])
         return [[(a, b, next(score)) for a, b in s] for s in spans]
 
@@ -299,7 +347,7 @@ def findings(docs: DataFrame) -> DataFrame:
 
     def of_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [context(t, a, b) for t in batch["text"] if t for a, b in candidates(t)]
+            rows = [around for t in batch["text"] if t for _, _, *around in contexts(t)]
             yield pd.DataFrame(rows, columns=["before", "candidate", "after"], dtype=object)
 
     return bounded(docs).select("text").mapInPandas(of_part, "before string, candidate string, after string")
@@ -320,12 +368,15 @@ def labelled_by_rule(docs: DataFrame, words: set[str] | frozenset[str] = frozens
     return found.withColumn("label", label("before", "candidate", "after"))
 
 
-def fitted(docs: DataFrame, labelled: DataFrame | None = None, most: int = MOST) -> Scanner:
+def fitted(docs: DataFrame, labelled: DataFrame | None = None, most: int = MOST, stated: list[tuple] = ()) -> Scanner:
     """A scanner whose corpus is ``docs`` and whose forest learns from about ``most`` distinct findings of each label
-    in ``labelled`` (before, candidate, after, label), chosen by hash over all of them."""
+    in ``labelled`` (before, candidate, after, label), chosen by hash over all of them, of ``LONGEST_FINDING`` characters
+    at most, and from the ``stated`` ones (the same four, and others that are not looked at)."""
     about = corpus(docs)
     marks = labelled if labelled is not None else labelled_by_rule(docs, about.words)
-    marks = marks.where("candidate IS NOT NULL AND length(candidate) BETWEEN 1 AND 4096 AND label IN (0, 1)").select(
+    marks = marks.where("candidate IS NOT NULL AND label IN (0, 1)").where(
+        F.length("candidate").between(1, LONGEST_FINDING)
+    ).select(
         *(F.coalesce(c, F.lit("")).alias(c) for c in ("before", "candidate", "after")), "label"
     )
     marks = saved(marks.distinct().withColumn("chance", F.xxhash64("before", "candidate", "after")), "secrets-findings")
@@ -334,7 +385,7 @@ def fitted(docs: DataFrame, labelled: DataFrame | None = None, most: int = MOST)
     for label, n in sorted(counts.items()):
         limit = min(int(min(1.0, most / n) * 2**64) - 2**63, 2**63 - 1)
         rows += [(*r[:3], label) for r in marks.where((F.col("label") == label) & (F.col("chance") <= limit)).select("before", "candidate", "after").collect()]
-    rows.sort()
+    rows = sorted([*rows, *(r[:4] for r in stated)])
     x = np.array([features(about, *r[:3]) for r in rows]).reshape(-1, len(FEATURES))
     return Scanner(about, Forest().fit(x, np.array([r[3] for r in rows])))
 
@@ -378,7 +429,7 @@ def redacted(docs: DataFrame, scanner: Scanner) -> DataFrame:
 def op9_secret_scan(spark, sf_dir):
     """Per document: candidates, secrets and their spans, and the sha256 of the redacted text (null: of the empty text)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = with_secrets(docs, fitted(docs))
+    found = with_secrets(docs, fitted(docs, stated=stated_findings()))
     return found.select(
         "doc_id", "scan.n_candidates", F.size("scan.secrets").cast("long").alias("n_secrets"), "scan.secrets",
         F.sha2(F.coalesce(F.col("scan.redacted"), F.lit("")), 256).alias("redacted_sha256"),
