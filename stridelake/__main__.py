@@ -1,9 +1,14 @@
-"""Jobs for spark-submit or ``python -m stridelake``."""
+"""Jobs for spark-submit or ``python -m stridelake``.
+
+The raw folder and the lake default to the environment's DEFAULT_RAW and DEFAULT_OUT, else to data/raw and
+lake/parquet/runs.parquet below the working folder.
+"""
 
 from __future__ import annotations
 
 import argparse
 import logging
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -14,9 +19,22 @@ from stridelake.plans.ingest import ingest
 from stridelake.plans.load import load_activity_counts, load_summary
 from stridelake.plans.report import report
 from stridelake.plans.serve import latest_stored_summary, write_json
+from stridelake.sources.manifest import vacuum
+from stridelake.streaming.compaction import compact
 from stridelake.streaming.incremental import run_incremental
 
 
+# Names of the environment, and the folders where they are not set.
+_FOLDERS = {"raw-dir": ("DEFAULT_RAW", "data/raw"), "lake": ("DEFAULT_OUT", "lake/parquet/runs.parquet")}
+
+
+def _default(option: str) -> str | None:
+    if option not in _FOLDERS:
+        return None
+    variable, folder = _FOLDERS[option]
+    return os.environ.get(variable) or folder
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="stridelake", description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -24,19 +42,22 @@ def _parser() -> argparse.ArgumentParser:
     def job(name: str, text: str, *options: str) -> argparse.ArgumentParser:
         sub = jobs.add_parser(name, help=text)
         for option in options:
-            sub.add_argument(f"--{option}", required=True)
+            default = _default(option)
+            sub.add_argument(f"--{option}", required=default is None, default=default)
         return sub
 
     csv_jobs = [
         job("ingest", "CSV folder to lake", "raw-dir", "lake"),
         job("batch", "CSV folder to lake to marts", "raw-dir", "lake", "marts"),
-        job("incremental", "take in new CSV files", "raw-dir", "lake", "marts", "checkpoint"),
+        job("incremental", "take in new, rewritten and deleted CSV files", "raw-dir", "lake", "marts", "checkpoint"),
     ]
     for sub in csv_jobs:
         sub.add_argument("--multi-line", choices=("auto", "yes", "no"), default="auto")
     marts = job("marts", "lake to marts", "lake", "marts")
     for sub in (*csv_jobs, marts):
         sub.add_argument("--on-bad-date", choices=("error", "null"), default="error")
+    job("compact", "put the batches of each month together", "lake", "marts").add_argument("--more-than", type=int, default=8)
+    job("vacuum", "delete what runs that died have left", "lake", "marts")
     latest = job("latest", "write the latest summary rows as JSON", "marts", "out")
     latest.add_argument("--rows", type=int, default=100)
     shown = job("report", "write the report's tables as JSON", "marts", "lake", "out")
@@ -71,6 +92,11 @@ def main(argv: list[str] | None = None) -> int:
             on_bad_date=args.on_bad_date,
         )
         print(f"{rows} new rows")
+    elif args.job == "compact":
+        months = compact(spark, args.lake, args.marts, args.more_than)
+        print(f"{len(months)} months: {', '.join(months)}")
+    elif args.job == "vacuum":
+        print(f"{sum(len(vacuum(spark, root)) for root in (args.lake, args.marts))} folders")
     elif args.job == "latest":
         write_json(latest_stored_summary(spark, args.marts, args.rows), args.out)
     else:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from stridelake.functions.columns import sql_name
 from stridelake.functions.missing import is_missing_sql, missing_to_null_sql
@@ -22,8 +23,25 @@ def infer_types(
     A column without any value gets ``when_empty``, or is left out if that is None. An
     integer too long for bigint makes the column a string, so that no digit is lost.
     """
+    return _types(raw.selectExpr(*_aggregates(names)).first(), names, when_empty) if names else {}
+
+
+def infer_types_by(raw: DataFrame, names: Sequence[str], key: str) -> dict[object, dict[str, str]]:
+    """``infer_types`` of the rows of each value of the column ``key``; columns without values are left out."""
     if not names:
         return {}
+    found = raw.groupBy(key).agg(*map(F.expr, _aggregates(names))).collect()
+    return {r[key]: _types(r, names, None) for r in found}
+
+
+def wider(a: str | None, b: str | None) -> str | None:
+    """The narrowest type that holds the values of both; None stands for no values."""
+    if a is None or b is None or a == b:
+        return a or b
+    return "double" if {a, b} == {"bigint", "double"} else "string"
+
+
+def _aggregates(names: Sequence[str]) -> list[str]:
     aggregates = []
     for i, name in enumerate(names):
         text = missing_to_null_sql(name)
@@ -37,7 +55,10 @@ def infer_types(
         aggregates.append(f"count({text}) AS filled_{i}")
         for kind, test in tests.items():
             aggregates.append(f"bool_and(CASE WHEN {text} IS NOT NULL THEN {test} END) AS {kind}_{i}")
-    found = raw.selectExpr(*aggregates).first()
+    return aggregates
+
+
+def _types(found: Row, names: Sequence[str], when_empty: str | None) -> dict[str, str]:
     types = {}
     for i, name in enumerate(names):
         if found[f"filled_{i}"] == 0:

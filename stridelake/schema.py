@@ -33,6 +33,8 @@ EVENT_DATE = "event_date"
 BATCH_ID = "batch_id"
 # In lakes of incremental runs: the raw file that a row comes from.
 SOURCE_FILE = "source_file"
+# Note of such a lake: type of the values of each undeclared column for each batch.
+KINDS = "kinds"
 # What Spark writes for NULL in the name of a partition folder.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Partition of the roll-up and the marts: a day of them is small even where a day of

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stridelake.functions.columns import parse_day, sql_name
-from stridelake.functions.inference import infer_types, misfit_sql, typed_sql
-from stridelake.schema import BATCH_ID, EVENT_DATE, SENSOR_TYPES, SOURCE_FILE
+from stridelake.functions.columns import parse_day, quoted, sql_name
+from stridelake.functions.inference import infer_types, misfit_sql, typed_sql, wider
+from stridelake.schema import BATCH_ID, EVENT_DATE, KINDS, SENSOR_TYPES, SOURCE_FILE
 from stridelake.session import session_like
 from stridelake.sources.csv_folder import TOO_LONG
 from stridelake.sources.files import literal_path
-from stridelake.sources.manifest import Part
+from stridelake.sources.manifest import Part, latest_manifest
 from stridelake.sources.tables import read_table, write_parts, write_table
 
 MISFITS = "__misfits__"
@@ -136,9 +136,22 @@ def read_lake(spark: SparkSession, path: str, keep_batch_id: bool = False) -> Da
             raise ValueError(f"column date of {path} is a number, not a date")
         epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
         runs = runs.withColumn("date", F.expr(f"timestampadd(MICROSECOND, date div 1000, {epoch})"))
+    manifest = latest_manifest(spark, path)
+    if manifest is not None and KINDS in manifest.notes:
+        runs = _with_kinds(runs, manifest.notes[KINDS].values())
     return (runs if keep_batch_id else runs.drop(BATCH_ID)).drop(SOURCE_FILE)
 
 
+def _with_kinds(runs: DataFrame, of_batches: Iterable[Mapping[str, str]]) -> DataFrame:
+    """Undeclared columns, kept as text, with the type that holds the values of all batches."""
+    kinds: dict[str, str] = {}
+    for found in of_batches:
+        kinds |= {name: wider(kinds.get(name), kind) for name, kind in found.items()}
+    own = {*SENSOR_TYPES, EVENT_DATE, BATCH_ID, SOURCE_FILE}
+    typed = {n: F.expr(typed_sql(n, kinds.get(n, "double"))) for n in runs.columns if n not in own}
+    return runs.select(*(typed[n].alias(n) if n in typed else quoted(n) for n in runs.columns))
+
+
 _NANOSECONDS = "spark.sql.legacy.parquet.nanosAsLong"
 
 

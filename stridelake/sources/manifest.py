@@ -11,6 +11,7 @@ There is one writer at a time. The folders of the last ``KEPT`` manifests stay,
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
@@ -115,17 +116,18 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
     manifests = [_read(spark, root, n) for n in _numbers(spark, root)]
     used = {f for m in manifests for f in _folders(m)}
     depths = {(name, len(part.split("/")) if part else 0) for m in manifests for name, t in m.tables.items() for part in t.parts}
-    found = []
+    kept, found = {_plain(f) for f in used}, []
     for name, depth in depths:
         pattern = files.literal_path(table_path(root, name)) + "/*=*" * depth + f"/{BUILD}=*"
-        found += [f for f in files.glob(spark, pattern) if _plain(f) not in {_plain(u) for u in used}]
+        found += [f for f in files.glob(spark, pattern) if _plain(f) not in kept]
     for folder in found:
         files.delete(spark, folder)
     return found
 
 
 def _plain(path: str) -> str:
-    return path.split(":", 1)[-1].lstrip("/") if "://" not in path else path.split("://", 1)[1].split("/", 1)[1]
+    """The path without scheme and host, which listings add."""
+    return re.sub(r"/+", "/", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path))
 
 
 def _folders(manifest: Manifest) -> set[str]:

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from stridelake.functions.columns import quoted
 from stridelake.operators.marts import merged_rollup
 from stridelake.plans.build import LAKE_VERSION, write_rollup
-from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, ROLLUP
+from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, KINDS, ROLLUP
 from stridelake.sources.manifest import Part, Table, commit, latest_manifest, new_build, parts_with, value_of
 from stridelake.sources.tables import read_parts, write_parts
-from stridelake.streaming.incremental import CHANGES, batches_of, follow, month_of
+from stridelake.streaming.incremental import CHANGES, batches_of, follow, kinds_after, month_of
 
 #: Merged batches count down from here, one number for each compaction; batches and corrections never get there.
 FIRST_MERGED = -1_000_000_000
@@ -54,7 +54,10 @@ def compact(
     new = {p: Part(b.build, covers=tuple(sorted(covers[p.rpartition("/")[0]]))) for p, b in new.items()}
     kept = {p: b for p, b in source.parts.items() if p not in set(old)}
     changes = [*lake.notes[CHANGES], [lake.version + 1, sorted([*old, *new])]]
-    after = lake.following({"": Table(source.schema, kept | new)}, **{CHANGES: changes})
+    together = Table(source.schema, kept | new)
+    stale = {str(merged), *(value_of(p, BATCH_ID) for p in old)}
+    kinds = kinds_after(spark, lake_path, lake.notes.get(KINDS, {}), together, stale)
+    after = lake.following({"": together}, **{CHANGES: changes, KINDS: kinds})
     commit(spark, after)
 
     of_months = parts_with(marts.parts(ROLLUP), EVENT_MONTH, set(months))

@@ -16,8 +16,11 @@ version, the marts' which version they show, so a run that finds marts behind th
 them follow. A batch that is run again replaces its own partitions, and a run that dies leaves nothing to mend.
 
 Both carry the checkpoint's id, and the checkpoint a note once both hold rows. A run whose lake, marts and
-checkpoint do not belong together is refused before anything is written. Columns that are not declared stay
-text, so that no later file can fail to fit them.
+checkpoint do not belong together is refused before anything is written.
+
+Columns that are not declared are kept as text, so that no later file can fail to fit them. The lake's manifest
+notes for each batch the narrowest type of their values; readers of the lake see the type that holds those of
+all batches, which is the type that a full run would give (``read_lake``).
 """
 
 from __future__ import annotations
@@ -30,8 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridelake.functions.columns import quoted
+from stridelake.functions.inference import infer_types_by
 from stridelake.plans.build import LAKE_VERSION, RUN, roll_up, write_marts, write_rollup
-from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, NO_VALUE, ROLLUP, SENSOR_TYPES, SOURCE_FILE
+from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, KINDS, NO_VALUE, ROLLUP, SENSOR_TYPES, SOURCE_FILE
 from stridelake.sources.csv_folder import TOO_LONG, read_csv_files
 from stridelake.sources.files import Entry, exists, list_csv_files, literal_path, read_text, write_text
 from stridelake.sources.lake import write_lake
@@ -183,7 +187,7 @@ def _change_lake(
     changed = set(lake.parts) - set(parts)
     rows, schema = 0, lake.schema
     if drop:
-        again, kept = _without_files(spark, lake_path, lake, drop, build)
+        again, kept = _without_files(spark, lake_path, lake, drop)
         parts = {p: b for p, b in parts.items() if p not in again} | kept
         changed |= again
     if took:
@@ -202,14 +206,16 @@ def _change_lake(
     if entries:
         frame = spark.createDataFrame(entries, LEDGER_SCHEMA)
         of_ledger |= write_parts(frame, lake_path, LEDGER, build, [BATCH_ID], sort_by=["name"])[0]
+    after = Table(schema, parts)
+    kinds = kinds_after(spark, lake_path, before.notes.get(KINDS, {}), after, {value_of(p, BATCH_ID) for p in changed})
     changes = [*before.notes[CHANGES][-_KEPT_CHANGES:], [before.version + 1, sorted(changed)]]
-    tables = {"": Table(schema, parts), LEDGER: Table(LEDGER_SCHEMA, of_ledger)}
-    commit(spark, before.following(tables, **{RUN: run_id or before.notes[RUN], CHANGES: changes}))
+    tables = {"": after, LEDGER: Table(LEDGER_SCHEMA, of_ledger)}
+    commit(spark, before.following(tables, **{RUN: run_id or before.notes[RUN], CHANGES: changes, KINDS: kinds}))
     return rows
 
 
 def _without_files(
-    spark: SparkSession, lake_path: str, lake: Table, drop: dict[str, int], build: str
+    spark: SparkSession, lake_path: str, lake: Table, drop: dict[str, int]
 ) -> tuple[set[str], dict[str, Part]]:
     """The partitions that hold rows of the files, and those that are left of them, written anew."""
     wanted = set(drop.values())
@@ -224,10 +230,24 @@ def _without_files(
     held = {"/".join(f"{c}={NO_VALUE if r[c] is None else r[c]}" for c in keys) for r in found}
     left = read_parts(spark, lake_path, "", lake, sorted(held)).join(names, SOURCE_FILE, "left_anti").select(*map(quoted, rows.columns))
     sort_by = ["username"] if "username" in left.columns else []
-    kept, _ = write_parts(left, lake_path, "", build, keys, sort_by=sort_by)
+    kept, _ = write_parts(left, lake_path, "", new_build(), keys, sort_by=sort_by)
     return held, {p: Part(b.build, covers=lake.parts[p].covers) for p, b in kept.items()}
 
 
+def kinds_after(
+    spark: SparkSession, lake_path: str, known: Mapping[str, Mapping[str, str]], lake: Table, changed: set[str]
+) -> dict[str, Mapping[str, str]]:
+    """Type of the values of each undeclared column for each batch of the lake; found anew for the changed batches,
+    from these columns alone."""
+    present = {value_of(p, BATCH_ID) for p in lake.parts}
+    names = [n for n in lake.schema.names if n not in (*SENSOR_TYPES, EVENT_DATE, BATCH_ID, SOURCE_FILE)]
+    found = {}
+    if names and changed & present:
+        rows = read_parts(spark, lake_path, "", lake, parts_with(lake.parts, BATCH_ID, changed))
+        found = {str(b): kinds for b, kinds in infer_types_by(rows, names, BATCH_ID).items()}
+    return {b: found.get(b, {}) if b in changed else known.get(b, {}) for b in sorted(present)}
+
+
 def _ledger_without(spark: SparkSession, lake: Manifest, drop: Mapping[str, int], batch_id: int) -> list[tuple]:
     """What stays of the ledger's partitions that lose files; without the batch that is written."""
     ledger = lake.tables.get(LEDGER)

@@ -32,6 +32,7 @@ def assert_like_a_full_run(spark, run, at):  # noqa: F811
     lake, whole = read_lake(spark, run.lake), read_lake(spark, full["lake"])
     assert set(lake.columns) >= set(whole.columns)
     assert rows(lake.select(sorted(whole.columns))) == rows(whole.select(sorted(whole.columns)))
+    assert {f.name: f.dataType for f in whole.schema}.items() <= {f.name: f.dataType for f in lake.schema}.items()
     for name in (SUMMARY, ACTIVITY_COUNTS, WRIST_COUNTS):
         assert run.mart(name) == rows(stored_mart(spark, name, full["marts"])), name
 
@@ -218,3 +219,42 @@ def test_many_files_of_one_batch(spark, run, at):  # noqa: F811
     run.go()
     assert_like_a_full_run(spark, run, at)
     assert HEADER
+
+
+def test_types_of_undeclared_columns_widen(spark, run, at):  # noqa: F811
+    """Every step has the types of a full run: wider with a new batch, narrower where values leave."""
+    header = f"{HEADER},steps,ok,empty,code"
+
+    def add(name, steps, ok, code, empty=""):
+        run.add(name, f'{sample("2024-1-30", name, 0, 1, 3.0)},{steps},{ok},{empty},{code}', header=header)
+        run.go()
+        assert_like_a_full_run(spark, run, at)
+        return dict(read_lake(spark, run.lake).select("steps", "ok", "empty", "code").dtypes)
+
+    assert add("a.csv", 5, "true", 7) == {"steps": "bigint", "ok": "boolean", "empty": "double", "code": "bigint"}
+    assert add("b.csv", 5.5, "", "1e3") == {"steps": "double", "ok": "boolean", "empty": "double", "code": "double"}
+    assert add("c.csv", "NA", 1, "12345678901234567890") == {"steps": "double", "ok": "string", "empty": "double", "code": "string"}
+    assert add("d.csv", "five", "", 1, empty=0)["steps"] == "string"
+    compact(spark, run.lake, run.marts, more_than=1)
+    assert_like_a_full_run(spark, run, at)
+    assert add("d.csv", 5, "", 1) == {"steps": "double", "ok": "string", "empty": "double", "code": "string"}
+    remove(run, "c.csv")
+    assert add("e.csv", "", "false", 2) == {"steps": "double", "ok": "boolean", "empty": "double", "code": "double"}
+
+
+def test_jobs(spark, run, monkeypatch, capsys):  # noqa: F811
+    from stridelake.__main__ import _parser, main
+
+    monkeypatch.delenv("DEFAULT_RAW", raising=False)
+    monkeypatch.delenv("DEFAULT_OUT", raising=False)
+    parsed = _parser().parse_args(["ingest"])
+    assert (parsed.raw_dir, parsed.lake) == ("data/raw", "lake/parquet/runs.parquet")
+    monkeypatch.setenv("DEFAULT_RAW", run.raw)
+    monkeypatch.setenv("DEFAULT_OUT", run.lake)
+    rest = ["--marts", run.marts]
+    for name in "ab":
+        run.add(f"{name}.csv", sample("2024-1-30", name, 0, 1, 3.0))
+        assert main(["incremental", "--checkpoint", run.checkpoint, *rest]) == 0
+    assert main(["compact", "--more-than", "1", *rest]) == 0 and main(["vacuum", *rest]) == 0
+    assert capsys.readouterr().out.splitlines() == ["1 new rows", "1 new rows", "1 months: 2024-01-01", "0 folders"]
+    run.assert_like_a_rebuild()
