@@ -1,9 +1,11 @@
 """Sharding by a k-d tree: nodes are split at weighted medians along their widest metadata dimension.
 
-Weights are bytes. A tree for n leaves splits a node of k leaves so that k // 2 of them get their share of
-its bytes (the median where k is even), until every node is a leaf. Points of the tree are groups of equal
-texts, which stay together; a group of more than ``SPLIT`` of a leaf is cut into pieces, so that a
-text that makes up a third of all rows can't unbalance anything. Along every dimension the order is
+Weights are bytes. A tree for n leaves splits a node of k leaves so that k // 2 of them get what they have room
+for of its bytes (the median where k is even and all are empty), until every node is a leaf. Points of the tree are
+groups of equal texts, which stay together. A group of more than ``SPLIT`` of a leaf would unbalance the cut
+that it lies on: such groups are placed before, the largest first, each where there is most room, and the tree
+fills what they leave. Only a group that is larger than a leaf is cut, into pieces that are points of the tree, so
+that a text that makes up a third of all rows can't unbalance anything. Along every dimension the order is
 completed by a hash of the group, so that ties (one source with a third of the rows) can be cut anywhere.
 
 A level of the tree takes a few aggregates over all points of all its nodes at once: the ranges of the
@@ -13,6 +15,7 @@ histograms, of at most ``BUCKETS`` rows per node, and the tree itself; never poi
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,22 +69,23 @@ def _number(df: DataFrame, name: str) -> Column:
     raise ValueError(f"column {name} can't be a dimension")
 
 
-def _cuts(points: DataFrame, active: list[Node], node: Column) -> None:
-    """Sets dimension and cut of every active node."""
+def _cuts(points: DataFrame, active: list[Node], node: Column, room: list[float]) -> None:
+    """Sets dimension and cut of every active node; ``room`` has the bytes that each leaf can take."""
     dims = [c for c in points.columns if c.startswith("k")]
     wide = points.withColumn("node", node.cast("int")).where("node >= 0")
     stats = wide.groupBy("node").agg(
         F.sum("bytes").alias("bytes"),
         *(f(c).alias(f"{n}{i}") for i, c in enumerate(dims) for n, f in (("low", F.min), ("high", F.max))),
     )
-    goal, low, high, below = {}, {}, {}, {}
+    goal, leaf_bytes, low, high, below = {}, {}, {}, {}, {}
     for r in stats.collect():
         n = active[r["node"]]
         spread = [(r[f"high{i}"] >> _HASH_BITS) - (r[f"low{i}"] >> _HASH_BITS) for i in range(len(dims))]
         n.dimension = max(range(len(dims)), key=lambda i: (spread[i], -i))
-        goal[r["node"]] = r["bytes"] * (n.leaves // 2) / n.leaves
+        left, both = (sum(room[n.first : n.first + k]) for k in (n.leaves // 2, n.leaves))
+        goal[r["node"]] = r["bytes"] * (left / both if both else n.leaves // 2 / n.leaves)
+        leaf_bytes[r["node"]] = r["bytes"] / n.leaves
         low[r["node"]], high[r["node"]], below[r["node"]] = r[f"low{n.dimension}"], r[f"high{n.dimension}"], 0
-    leaf_bytes = {i: goal[i] / (active[i].leaves // 2) for i in goal}
     for i, n in enumerate(active):
         if i not in goal:  # no points: any cut will do
             n.dimension = 0
@@ -115,13 +119,15 @@ def _cuts(points: DataFrame, active: list[Node], node: Column) -> None:
                 low[i], high[i], below[i] = r["low"], r["high"], total
 
 
-def kd_tree(points: DataFrame, leaves: int) -> Node:
-    """``points``: bytes and the long keys k0, k1, ... of the dimensions, widest value range first in the bits."""
+def kd_tree(points: DataFrame, room: list[float]) -> Node:
+    """``points``: bytes and the long keys k0, k1, ... of the dimensions, widest value range first in the bits.
+    There is a leaf for each number in ``room``, the bytes it can take."""
+    leaves = len(room)
     root = Node(0, leaves)
     level = [root] if leaves > 1 else []
     while level:
         place = {id(n): i for i, n in enumerate(level)}
-        _cuts(points, level, _leaf(root, _key, lambda n: F.lit(place.get(id(n), -1))))
+        _cuts(points, level, _leaf(root, _key, lambda n: F.lit(place.get(id(n), -1))), room)
         below = []
         for n in level:
             n.left = Node(n.first, n.leaves // 2)
@@ -131,6 +137,17 @@ def kd_tree(points: DataFrame, leaves: int) -> Node:
     return root
 
 
+def _placed(groups: list[tuple[int, int]], shards: int, share: float) -> tuple[list[tuple[int, int]], list[float]]:
+    """(group, shard) for groups (id, bytes), the largest first and each into the emptiest shard; the room left."""
+    loads = [(0, k) for k in range(shards)]
+    out = []
+    for h, size in sorted(groups, key=lambda g: (-g[1], g[0])):
+        load, k = heapq.heappop(loads)
+        out.append((h, k))
+        heapq.heappush(loads, (load + size, k))
+    return out, [max(share - load, 0.0) for load, _ in sorted(loads, key=lambda x: x[1])]
+
+
 def kd_shards(
     docs: DataFrame,
     shards: int | None = None,
@@ -142,7 +159,8 @@ def kd_shards(
 
     Give the number of shards, or the bytes of a shard. ``size`` is the text's UTF-8 bytes (null: none) plus
     16, ``text_crc32`` the crc32 of its bytes (null: of none), ``slot`` counts from 0 within the shard. Shards
-    hold near equal bytes: no further from their share than a few per cent of it and one row. Dimensions that
+    hold near equal bytes: no further from their share than a few per cent of it and one row, or one group of equal
+    texts, which is in one shard unless it is larger than that. Dimensions that
     the table lacks are left out; without any, groups are cut by hash alone. Repeated rows, null ids and null or empty
     texts are rows like others; an empty table gives no rows. Columns kept under the name of a
     result are replaced by it.
@@ -166,10 +184,15 @@ def kd_shards(
     whole = rows.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), *ranges).first()
     total = whole["bytes"] or 0
     shards = shards or max(1, -(-total // target_bytes))
-    limit = max(1, int(SPLIT * total / shards))
-    # at most total / limit groups are that large, whatever the number of rows
-    large = rows.groupBy("h").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > limit)
-    cut = rows.join(F.broadcast(large.select("h", F.ceil(F.col("bytes") / limit).alias("pieces"))), "h", "left")
+    share = total / shards
+    limit = max(1, int(SPLIT * share))
+    # at most total / limit groups, 25 for each shard, are that large, whatever the number of rows
+    large = saved(rows.groupBy("h").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > limit), "kd-large")
+    groups = [(r["h"], r["bytes"]) for r in large.where(F.col("bytes") <= share).collect()]
+    placed, room = _placed(groups, shards, share)
+    whole_groups = docs.sparkSession.createDataFrame(placed, "h long, shard int")
+    pieces = large.where(F.col("bytes") > share).select("h", F.ceil(F.col("bytes") / limit).alias("pieces"))
+    cut = rows.join(F.broadcast(pieces), "h", "left")
     cut = cut.withColumn("piece", F.coalesce(F.pmod(F.xxhash64("row_id"), F.col("pieces")), F.lit(0)))
     merged = cut.groupBy("h", "piece").agg(
         F.sum("size").alias("bytes"), *(F.min(f"d{i}").alias(f"d{i}") for i in range(len(present)))
@@ -182,9 +205,11 @@ def kd_shards(
         return F.shiftleft(scaled, _HASH_BITS).bitwiseOR(hashed)
 
     keys = [key(i).alias(_key(i)) for i in range(len(present))] or [hashed.alias(_key(0))]
-    points = saved(merged.select("h", "piece", "bytes", *keys), "kd-points")
-    tree = kd_tree(points, shards)
+    others = merged.join(F.broadcast(whole_groups), "h", "left_anti")
+    points = saved(others.select("h", "piece", "bytes", *keys), "kd-points")
+    tree = kd_tree(points, room)
     leaf = points.select("h", "piece", _leaf(tree, _key, lambda n: F.lit(n.first)).alias("shard"))
+    leaf = leaf.unionByName(whole_groups.withColumn("piece", F.lit(0).cast(leaf.schema["piece"].dataType)))
     placed = saved(
         cut.join(leaf, ["h", "piece"]).select("row", "size", "text_crc32", "shard", "row_id"), "kd-placed"
     )

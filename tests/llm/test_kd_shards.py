@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from awkward import AWKWARD
 
-from stridelake.llm.kd_shards import kd_shards, write_shards
+from stridelake.llm.kd_shards import _placed, kd_shards, write_shards
 
 
 def check(rows, out, shards):
@@ -28,7 +28,32 @@ def test_balanced_with_a_hot_text(spark, docs_of):
     together = defaultdict(set)
     for r in kd_shards(docs_of(rows[:100] * 2, clashing=False), shards=3).collect():
         together[r["text_crc32"]].add(r["shard"])
-    assert sum(len(s) > 1 for s in together.values()) <= 2
+    assert all(len(s) == 1 for s in together.values())
+
+
+def test_groups_stay_whole(spark, docs_of):
+    """Groups of up to a shard, one larger than that; shards stay near equal."""
+    rows = [(i, f"text {i} " + "w " * (i * 7 % 90)) for i in range(2000)]
+    for k in range(30):
+        rows += [(10_000 + 1000 * k + i, f"group {k} " * 10) for i in range(20 + 9 * k)]
+    rows += [(90_000 + i, "larger than a shard " * 4) for i in range(900)]
+    out = kd_shards(docs_of(rows, clashing=False), shards=12).collect()
+    check(rows, out, 12)
+    size, of_text, bytes_of = Counter(), defaultdict(set), Counter()
+    for r in out:
+        size[r["shard"]] += r["size"]
+        of_text[r["text_crc32"]].add(r["shard"])
+        bytes_of[r["text_crc32"]] += r["size"]
+    share = sum(size.values()) / 12
+    assert [bytes_of[t] > share for t, s in of_text.items() if len(s) > 1] == [True]
+    assert max(size.values()) < 1.06 * share and min(size.values()) > 0.94 * share
+
+
+def test_placing_is_balanced():
+    groups = [(k, 10 + k % 50) for k in range(400)]
+    placed, room = _placed(groups, 20, sum(b for _, b in groups) / 20)
+    assert sorted(h for h, _ in placed) == list(range(400)) and max(room) < 15 and len(room) == 20
+    assert _placed([], 3, 5.0) == ([], [5.0] * 3)
 
 
 @pytest.mark.parametrize("shards", [1, 5])
