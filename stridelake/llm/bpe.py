@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from stridelake.llm.shared import bounded, free_name, slices, table
 
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 50_000
 _NO_RANK = np.iinfo(np.int64).max
 
 

@@ -25,7 +25,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 BATCH_BYTES = 8 << 20
-_CHARACTERS = 1 << 20
+_CHARACTERS = 1 << 18
 
 
 def bounded(df: DataFrame) -> DataFrame:
