@@ -52,9 +52,9 @@ def load_mart(
         try:
             manifest = manifest or latest_manifest(spark, mart_dir)
             wanted = (name, user, *(None if d is None else str(d) for d in (start, end)), keep_month)
-            kept = cache.find(manifest, wanted) if cache is not None and manifest is not None else None
+            kept = cache.find(manifest, wanted, spark) if cache is not None and manifest is not None else None
             if kept is not None:
-                return spark.createDataFrame(*kept)
+                return kept if isinstance(kept, DataFrame) else spark.createDataFrame(*kept)
             mart = select_rows(stored_mart(spark, name, mart_dir, start, end, keep_month, manifest), user)
             if lake_path is not None:  # there is something to fall back to: what is not whole must show now
                 check_mart(spark, name, mart_dir, start, end, manifest)

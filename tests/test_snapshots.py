@@ -153,6 +153,27 @@ def test_cache_is_bounded(spark, at, built):
     assert load_mart(spark, SUMMARY, at("none"), at("lake"), cache=cache).columns == SHORT and len(cache) == 2
 
 
+def test_large_results_are_held_on_executors(spark, at, built, monkeypatch):
+    expected, schema = rows(load_summary(spark, built)), load_summary(spark, built).schema
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    cache = ResultCache(max_rows=10_000, max_driver_rows=20)
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark.range(0)), "toArrow", lambda self: pytest.fail("rows sent to the driver"))
+        first, second = (load_summary(spark, built, cache=cache) for _ in range(2))
+    assert len(cache) == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == before + 1
+    assert "InMemoryTableScan" in plan_of(second) and second.schema == schema
+    assert "InMemoryTableScan" not in plan_of(load_summary(spark, built))
+    for path in _files(built, SUMMARY):
+        os.remove(path)
+    assert rows(first) == rows(second) == expected
+    build_marts(spark, at("lake"), built)
+    other = load_summary(spark, built, cache=cache, user="user_1", start="2017-07-05", end="2017-07-08")
+    assert other.count() <= 4 and len(cache) == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert rows(load_summary(spark, built, cache=cache)) == expected and len(cache) == 2
+    cache.clear()
+    assert len(cache) == 0 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_queries_leave_the_callers_views_alone(spark, at, built):
     spark.range(7).createOrReplaceTempView("runs")
     spark.range(8).createOrReplaceTempView(SUMMARY)
