@@ -17,7 +17,7 @@ from stridelake.plans.build import LAKE_VERSION, write_rollup
 from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, KINDS, ROLLUP
 from stridelake.sources.manifest import Part, Table, commit, latest_manifest, new_build, parts_with, value_of
 from stridelake.sources.tables import read_parts, write_parts
-from stridelake.streaming.incremental import CHANGES, batches_of, follow, kinds_after, month_of
+from stridelake.streaming.incremental import CHANGES, batches_of, follow, kinds_after, month_of, sized_parts
 
 #: Merged batches count down from here, one number for each compaction; batches and corrections never get there.
 FIRST_MERGED = -1_000_000_000
@@ -61,7 +61,7 @@ def compact(
     commit(spark, after)
 
     of_months = parts_with(marts.parts(ROLLUP), EVENT_MONTH, set(months))
-    rolled = _as_batch(merged_rollup(read_parts(spark, mart_dir, ROLLUP, marts.tables[ROLLUP], of_months)), merged)
+    rolled = _as_batch(merged_rollup(sized_parts(spark, mart_dir, ROLLUP, marts.tables[ROLLUP], of_months)), merged)
     rolled = rolled.select(*map(quoted, marts.tables[ROLLUP].schema.names))
     written = write_rollup(rolled, mart_dir, build)
     others = {p: b for p, b in marts.parts(ROLLUP).items() if p not in set(of_months)}

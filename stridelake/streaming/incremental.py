@@ -36,6 +36,7 @@ from stridelake.functions.columns import quoted
 from stridelake.functions.inference import infer_types_by
 from stridelake.plans.build import LAKE_VERSION, RUN, roll_up, write_marts, write_rollup
 from stridelake.schema import BATCH_ID, EVENT_DATE, EVENT_MONTH, KINDS, NO_VALUE, ROLLUP, SENSOR_TYPES, SOURCE_FILE
+from stridelake.session import sized_session
 from stridelake.sources.csv_folder import TOO_LONG, read_csv_files
 from stridelake.sources.files import Entry, exists, list_csv_files, literal_path, read_text, write_text
 from stridelake.sources.lake import write_lake
@@ -285,16 +286,22 @@ def follow(spark: SparkSession, lake_path: str, mart_dir: str, on_bad_date: str)
     near = [p for p in source.parts if (month_of(p), value_of(p, BATCH_ID)) in touched]
     tables = dict(marts.tables)
     if touched:
-        rolled = write_rollup(roll_up(read_parts(spark, lake_path, "", source, near), on_bad_date=on_bad_date), mart_dir, build)
+        runs = sized_parts(spark, lake_path, "", source, near)
+        rolled = write_rollup(roll_up(runs, on_bad_date=on_bad_date), mart_dir, build)
         tables[ROLLUP] = _replaced(marts, ROLLUP, rolled, {f"{EVENT_MONTH}={m}/{BATCH_ID}={b}" for m, b in touched})
         months = {m for m, _ in touched}
         of_months = parts_with(tables[ROLLUP].parts, EVENT_MONTH, months)
-        made = write_marts(read_parts(spark, mart_dir, ROLLUP, tables[ROLLUP], of_months), mart_dir, build)
+        made = write_marts(sized_parts(spark, mart_dir, ROLLUP, tables[ROLLUP], of_months), mart_dir, build)
         for name, mart in made.items():
             tables[name] = _replaced(marts, name, mart, {f"{EVENT_MONTH}={m}" for m in months})
     commit(spark, marts.following(tables, **notes))
 
 
+def sized_parts(spark: SparkSession, root: str, name: str, table: Table, parts: list[str]) -> DataFrame:
+    """The partitions, in a session for their number of rows."""
+    return read_parts(sized_session(spark, read_parts(spark, root, name, table, parts).count()), root, name, table, parts)
+
+
 def _replaced(manifest: Manifest, name: str, new: Table, stale: Iterable[str]) -> Table:
     stale = set(stale)
     known = manifest.tables[name].schema if name in manifest.tables else None

@@ -4,8 +4,10 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from stridelake import session
 from stridelake.operators import marts
-from stridelake.plans.build import build_marts, publish_marts, roll_up
+from stridelake.plans import build
+from stridelake.plans.build import build_marts, publish_marts, roll_up, write_marts, write_rollup
 from stridelake.plans.load import load_activity_counts, load_mart, load_summary, stored_mart
 from stridelake.schema import ACTIVITY_COUNTS, MART_SCHEMAS, ROLLUP, RUNS_SCHEMA, SUMMARY, WRIST_COUNTS
 from stridelake.sources.lake import read_lake, register_runs
@@ -252,3 +254,24 @@ def test_timestamp_dates(spark):
     runs = sample_runs(spark).withColumn("date", F.col("date").cast("timestamp"))
     assert marts.daily_user_summary(runs).count() == 3
     assert roll_up(runs).columns[-1] == "event_month"
+
+
+def test_partitions_of_a_build_hold_bounded_rows(spark, at, monkeypatch):
+    """However many rows there are and however few partitions are set, no task sorts or aggregates many of them."""
+    monkeypatch.setattr(session, "ROWS_A_TASK", 500)
+    made = []
+    monkeypatch.setattr(build, "write_rollup", lambda rolled, *how: made.append(rolled) or write_rollup(rolled, *how))
+    monkeypatch.setattr(build, "write_marts", lambda rolled, *how: made.append(rolled) or write_marts(rolled, *how))
+    settings = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1g", "spark.sql.adaptive.enabled": "false"}
+    few = session.session_like(spark, **settings)
+    runs = generated_runs(few, 10_000, users=100, days=30)
+    runs.write.parquet(at("lake"))
+    build_marts(few, at("lake"), at("marts"))
+    rolled, stored = made
+    sizes = [*rolled.rdd.glom().map(len).collect(), *marts.summary_of(stored).rdd.glom().map(len).collect()]
+    assert len(sizes) == 40 and max(sizes) < 1_000
+    for frame in made:
+        assert frame.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == f"{32 << 20}b"
+        assert frame.sparkSession.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert few.conf.get("spark.sql.shuffle.partitions") == "2"
+    assert stored_mart(few, SUMMARY, at("marts")).count() == marts.daily_user_summary(runs).count()
