@@ -4,12 +4,14 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from stridelake import session
+from stridelake import exports, session
 from stridelake.operators import marts
 from stridelake.plans import build
 from stridelake.plans.build import build_marts, publish_marts, roll_up, write_marts, write_rollup
 from stridelake.plans.load import load_activity_counts, load_mart, load_summary, stored_mart
+from stridelake.proxies import runs_from_events
 from stridelake.schema import ACTIVITY_COUNTS, MART_SCHEMAS, ROLLUP, RUNS_SCHEMA, SUMMARY, WRIST_COUNTS
+from stridelake.sources import tables
 from stridelake.sources.lake import read_lake, register_runs
 from stridelake.sources.sample import generated_runs, sample_runs
 from stridelake.sources.tables import read_table
@@ -275,3 +277,20 @@ def test_partitions_of_a_build_hold_bounded_rows(spark, at, monkeypatch):
         assert frame.sparkSession.conf.get("spark.sql.adaptive.enabled") == "false"
     assert few.conf.get("spark.sql.shuffle.partitions") == "2"
     assert stored_mart(few, SUMMARY, at("marts")).count() == marts.daily_user_summary(runs).count()
+
+
+def test_scans_of_a_build_take_bounded_rows(spark, at, monkeypatch):
+    """Files that we write hold no more rows than a task should aggregate, however well these compress."""
+    monkeypatch.setattr(tables, "ROWS_A_FILE", 700)
+    events = generated_runs(spark, 3_000, users=5, days=2).selectExpr(
+        "monotonically_increasing_id() AS event_id", "timestamp'2024-01-01 00:00:00' AS ts", "1L AS user_id",
+        "'view' AS event_type", "1.0D AS value", """'{"k": 1}' AS props""",
+    )
+    events.coalesce(1).write.parquet(at("in", "events.parquet"))
+    plain = exports.plain_lake(spark, at("in"))
+    tables.write_table(runs_from_events(spark, at("in")).coalesce(1), at("table"), partition_by=["date"], rebalance=False)
+    for path in (plain, at("table")):
+        found = spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()
+        assert sum(r["count"] for r in found) == 3_000 and max(r["count"] for r in found) <= 700
+    build_marts(spark, plain, at("marts"))
+    assert [r["samples"] for r in stored_mart(spark, SUMMARY, at("marts")).collect()] == [3_000]
